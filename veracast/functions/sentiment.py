@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .numeric import clamp
 
@@ -76,14 +76,20 @@ def _token_balance(folded: Column) -> Column:
     return F.aggregate(tokens, start, step, lambda state: state["balance"])
 
 
-def comment_sentiment(text: Column) -> Column:
-    """Struct of label, 0-100 score and source for one comment; blank text is neutral 50."""
-    folded = fold_text(F.coalesce(text, F.lit("")))
-    padded = F.concat(F.lit(" "), folded, F.lit(" "))
-    raw = _token_balance(folded) + _phrase_hits(padded, POSITIVE_TERMS) - _phrase_hits(padded, NEGATIVE_TERMS)
+def with_comment_sentiment(df: DataFrame, text: Column, output: str = "s") -> DataFrame:
+    """Adds the struct `output` of label, 0-100 score and source. Blank text is neutral 50 and NULL
+    text gives NULL. The folded text and the score are columns of their own, so that each is
+    made once per row."""
+    padded = F.concat(F.lit(" "), F.col("_folded"), F.lit(" "))
+    phrases = _phrase_hits(padded, POSITIVE_TERMS) - _phrase_hits(padded, NEGATIVE_TERMS)
+    raw = _token_balance(F.col("_folded")) + phrases
     score = F.greatest(F.lit(0), F.least(F.lit(100), F.lit(50) + raw * 20)).cast("double")
+    staged = df.withColumn("_folded", fold_text(text)).withColumn("_score", score)
     # Positive hits lift the score over 50 and negative ones push it below, so the score tells the label.
-    return F.struct(score_label(score).alias("label"), score.alias("score"), F.lit(RULE_SOURCE).alias("source"))
+    parts = F.struct(
+        score_label(F.col("_score")).alias("label"), F.col("_score").alias("score"), F.lit(RULE_SOURCE).alias("source")
+    )
+    return staged.withColumn(output, F.when(F.col("_score").isNotNull(), parts)).drop("_folded", "_score")
 
 
 def score_label(score: Column) -> Column:
@@ -95,19 +101,22 @@ def content_label(score: Column) -> Column:
     return F.when(score >= 60, "positive").when(score <= 40, "negative").otherwise("neutral")
 
 
-def unit_sentiment(text: Column) -> Column:
-    """0-1 score from substring hits of the small word sets; no text or no hit is 0.5."""
-    lowered = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), BLANKS, " ")
+def with_unit_sentiment(df: DataFrame, text: Column, output: str) -> DataFrame:
+    """Adds the 0-1 score from substring hits of the small word sets; no text or no hit is 0.5."""
 
     def hits(words: tuple[str, ...]) -> Column:
         found = F.lit(0)
         for word in words:
-            found = found + lowered.contains(word).cast("int")
+            found = found + F.col("_lowered").contains(word).cast("int")
         return found
 
-    positive, negative = hits(UNIT_POSITIVE_WORDS), hits(UNIT_NEGATIVE_WORDS)
-    lean = (positive - negative) / F.greatest(F.lit(4), positive + negative).cast("double")
-    return clamp(F.lit(0.5) + lean * F.lit(0.5))
+    lowered = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), BLANKS, " ")
+    staged = df.withColumn("_lowered", lowered).withColumns(
+        {"_good": hits(UNIT_POSITIVE_WORDS), "_bad": hits(UNIT_NEGATIVE_WORDS)}
+    )
+    good, bad = F.col("_good"), F.col("_bad")
+    lean = (good - bad) / F.greatest(F.lit(4), good + bad).cast("double")
+    return staged.withColumn(output, clamp(F.lit(0.5) + lean * F.lit(0.5))).drop("_lowered", "_good", "_bad")
 
 
 def unit_label(score: Column) -> Column:

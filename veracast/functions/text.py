@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Character pairs that betray UTF-8 text read as a one-byte code page.
 MOJIBAKE_MARKERS = (
@@ -102,15 +102,12 @@ def extract_hashtags(challenges: Column, extras: Column, caption: Column) -> Col
     return F.array_distinct(F.filter(everything, lambda tag: tag != ""))
 
 
-def category_mask(text: Column) -> Column:
+def category_mask(lowered: Column) -> Column:
     """One bit per category with a keyword in the lower-case text. Masks of many texts of one
     creator combine with bit_or, which is how a category is found without joining the texts."""
-    lowered = F.lower(F.coalesce(text, F.lit("")))
     mask = F.lit(0)
     for bit, keywords in enumerate(CATEGORY_KEYWORDS.values()):
-        found = F.lit(False)
-        for keyword in keywords:
-            found = found | lowered.contains(keyword)
+        found = lowered.rlike("|".join(keywords))
         mask = mask.bitwiseOR(F.when(found, F.lit(1 << bit)).otherwise(F.lit(0)))
     return mask
 
@@ -124,12 +121,19 @@ def category_of_mask(mask: Column) -> Column:
 
 
 def joined_text(*values: Column) -> Column:
-    """Non-empty values joined by single blanks, each repaired."""
-    return F.concat_ws(" ", *[repair_mojibake(F.nullif(value, F.lit(""))) for value in values])
-
-
-def infer_category(explicit: Column, mask: Column) -> Column:
-    """The explicit category in lower case unless it is missing or `unknown`, else the keyword one."""
-    given = F.trim(repair_mojibake(F.coalesce(explicit, F.lit(""))))
-    usable = (given != "") & (F.lower(given) != "unknown")
-    return F.when(usable, F.lower(given)).otherwise(category_of_mask(mask))
+    """Non-empty values joined by single blanks, each repaired, in lower case."""
+    return F.lower(F.concat_ws(" ", *[repair_mojibake(F.nullif(value, F.lit(""))) for value in values]))
+
+
+def with_category(df: DataFrame, explicit: Column, lowered: Column, more: Column | None = None) -> DataFrame:
+    """Adds `category`: the explicit one in lower case unless it is missing or `unknown`, else the
+    first with a keyword in the text or in the mask `more` of other texts."""
+    given = F.trim(repair_mojibake(F.col("_given")))
+    staged = df.withColumns({"_given": F.coalesce(explicit, F.lit("")), "_lowered": lowered})
+    mask = category_mask(F.col("_lowered"))
+    if more is not None:
+        mask = mask.bitwiseOR(F.coalesce(more, F.lit(0)))
+    staged = staged.withColumns({"_given": F.lower(given), "_mask": mask})
+    usable = (F.col("_given") != "") & (F.col("_given") != "unknown")
+    named = F.when(usable, F.col("_given")).otherwise(category_of_mask(F.col("_mask")))
+    return staged.withColumn("category", named).drop("_given", "_lowered", "_mask")

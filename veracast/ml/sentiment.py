@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import clamp, half_up
-from ..functions.sentiment import unit_label, unit_sentiment
+from ..functions.sentiment import unit_label, with_unit_sentiment
 
 # What a class is worth, and other spellings of the classes.
 LABEL_TO_SCORE = {"negative": 0.15, "neutral": 0.50, "positive": 0.85}
@@ -122,7 +122,7 @@ def text_scores(df: DataFrame, text: str, output: str, model: PipelineModel) ->
 def predict_sentiment(df: DataFrame, text: str = "comment", model: PipelineModel | None = None, prefix: str = "pred_") -> DataFrame:
     """Label, score and source per row; without a model the word rule scores the text."""
     if model is None:
-        scored = df.withColumn("_score", unit_sentiment(F.col(text)))
+        scored = with_unit_sentiment(df, F.col(text), "_score")
     else:
         scored = text_scores(df, text, "_score", model)
     blank = F.coalesce(F.col(text), F.lit("")) == ""

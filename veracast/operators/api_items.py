@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import first_nonblank, safe_int
-from ..functions.sentiment import comment_sentiment
+from ..functions.sentiment import with_comment_sentiment
 from ..functions.score import (
     LABEL_SOURCE,
     activity_percent,
@@ -103,7 +103,7 @@ def flatten_comment_threads(threads: DataFrame, anonymize: bool = False) -> Data
         F.coalesce(first_nonblank(snippet["textOriginal"], snippet["textDisplay"]), F.lit("")).alias("text"),
         author_id.alias("author_id"),
     )
-    scored = texts.withColumn("s", comment_sentiment(F.col("text")))
+    scored = with_comment_sentiment(texts, F.col("text"))
     return scored.select(
         F.lit("youtube").alias("platform"),
         "channel_id",

@@ -12,9 +12,9 @@ from ..functions.numeric import first_nonblank, safe_int
 from ..functions.text import (
     category_mask,
     format_hashtags,
-    infer_category,
     joined_text,
     repair_mojibake,
+    with_category,
 )
 from ..functions.timeparse import normalize_timestamp
 from .keyed import dedupe_latest, present
@@ -39,12 +39,11 @@ def build_youtube_channels(channels: DataFrame, seeds: DataFrame) -> DataFrame:
     latest = dedupe_latest(channels, "channel_id")
     rows = latest.join(latest_seed_keywords(seeds), "channel_id", "left")
     explicit = first_nonblank(F.coalesce(F.col("_seed"), _own(rows, "seed_keyword")), _own(rows, "category"))
-    words = joined_text(F.col("channel_name"))
-    return rows.select(
+    return with_category(rows, explicit, joined_text(F.col("channel_name"))).select(
         F.lit("youtube").alias("platform"),
         "channel_id",
         repair_mojibake(text_or_empty("channel_name")).alias("channel_name"),
-        infer_category(explicit, category_mask(words)).alias("category"),
+        "category",
         safe_int(F.col("subscriber_count")).alias("subscriber_count"),
         safe_int(F.col("video_count")).alias("video_count"),
         safe_int(F.col("view_count")).alias("total_view_count"),
@@ -106,8 +105,9 @@ def creator_text_masks(videos: DataFrame) -> DataFrame:
     """
     text = F.concat_ws(" ", text_or_empty("content_title"), text_or_empty("caption"), _tags_text(videos))
     texts = videos.where(present("creator_id")).select("creator_id", "seq", text.alias("_text"))
-    return texts.groupBy("creator_id").agg(
-        F.bit_or(category_mask(F.col("_text"))).alias("_mask"), F.min_by("_text", "seq").alias("_first_text")
+    masks = texts.withColumn("_lowered", F.lower("_text")).withColumn("_bits", category_mask(F.col("_lowered")))
+    return masks.groupBy("creator_id").agg(
+        F.bit_or("_bits").alias("_videos_mask"), F.min_by("_text", "seq").alias("_first_text")
     )
 
 
@@ -118,13 +118,12 @@ def build_tiktok_creators(creators: DataFrame, videos: DataFrame) -> DataFrame:
     latest = dedupe_latest(keyed, "creator_id")
     rows = latest.join(creator_text_masks(videos), "creator_id", "left")
     names = joined_text(F.col("creator_name"), F.col("username"), F.col("_first_text"))
-    mask = category_mask(names).bitwiseOR(F.coalesce(F.col("_mask"), F.lit(0)))
-    return rows.select(
+    return with_category(rows, F.col("category"), names, F.col("_videos_mask")).select(
         F.lit("tiktok").alias("platform"),
         "creator_id",
         repair_mojibake(text_or_empty("creator_name")).alias("creator_name"),
         text_or_empty("username").alias("username"),
-        infer_category(F.col("category"), mask).alias("category"),
+        "category",
         safe_int(F.col("follower_count")).alias("follower_count"),
         safe_int(F.col("following_count")).alias("following_count"),
         safe_int(F.col("content_count")).alias("content_count"),

@@ -18,8 +18,24 @@ def _mean(name: str, unit_digits: int, zero_counts_as: float | None = None) -> C
     return mean_of_units(F.sum(to_units(value, unit_digits)), F.count(F.lit(1)), unit_digits, unit_digits)
 
 
-def creator_totals(features: DataFrame) -> DataFrame:
-    """Per creator: sizes, views, mean rates and suspicious content; one combining aggregate."""
+def creator_totals(features: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
+    """Per creator: sizes, views, mean rates and suspicious content; one combining aggregate.
+
+    Features that do not have their creators' sizes attached yet get them here, from one row per
+    creator (`sizes`) to one row per creator, which spares the join of all content rows.
+    """
+    totals = _totals(features)
+    if sizes is None:
+        return totals
+    zero = F.lit(0).cast("bigint")
+    return totals.join(sizes, ["platform", "creator_id"], "left").select(
+        *[name for name in totals.columns if name not in ("follower_count", "content_count")],
+        F.coalesce("follower_count", "_followers", zero).alias("follower_count"),
+        F.coalesce("content_count", "_contents", zero).alias("content_count"),
+    )
+
+
+def _totals(features: DataFrame) -> DataFrame:
     return (
         features.where(present("creator_id"))
         .groupBy("platform", "creator_id")
@@ -45,16 +61,16 @@ def _platform_order() -> Column:
     return F.when(F.col("platform") == "youtube", 0).otherwise(1)
 
 
-def creator_trust_scores(features: DataFrame) -> DataFrame:
+def creator_trust_scores(features: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """The leaderboard: trust, then views, then first appearance."""
-    totals = creator_totals(features).withColumn("label_source", F.lit(LABEL_SOURCE))
+    totals = creator_totals(features, sizes).withColumn("label_source", F.lit(LABEL_SOURCE))
     order = [F.desc("trust_score"), F.desc("total_views"), _platform_order(), F.col("first_seq")]
     return global_rank(totals, order).select(schemas.TRUST_SCORE_COLUMNS)
 
 
-def creator_profiles(features: DataFrame) -> DataFrame:
+def creator_profiles(features: DataFrame, sizes: DataFrame | None = None) -> DataFrame:
     """Creator totals without the trust columns; sorted by size when written or shown."""
-    return creator_totals(features).select(schemas.CREATOR_PROFILE_COLUMNS)
+    return creator_totals(features, sizes).select(schemas.CREATOR_PROFILE_COLUMNS)
 
 
 def profiles_by_size(profiles: DataFrame) -> DataFrame:

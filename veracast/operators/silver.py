@@ -10,31 +10,39 @@ from ..functions.sentiment import (
     MISSING_TEXT_SOURCE,
     NO_COMMENTS_SOURCE,
     RULE_SOURCE,
-    comment_sentiment,
     content_label,
+    with_comment_sentiment,
 )
 from ..functions.text import hash_pii, repair_mojibake
 from ..functions.timeparse import parse_timestamp
 from .api_items import add_rule_labels
 from .bronze import text_or_empty
+from ..session import cut_lineage
 from .keyed import attach_per_key, present
 
 
 def with_sentiment_default(comments: DataFrame) -> DataFrame:
     """Rows that carry a label and a score keep them; others are scored from their text, or count
-    as neutral when the text is missing or hashed. Adds the struct `s`."""
-    carried = F.struct(
-        F.col("comment_sentiment").alias("label"),
-        F.col("comment_sentiment_score").cast("double").alias("score"),
-        F.coalesce(F.col("comment_sentiment_source"), F.lit(RULE_SOURCE)).alias("source"),
-    )
-    neutral = F.struct(
-        F.lit("neutral").alias("label"), F.lit(50.0).alias("score"), F.lit(MISSING_TEXT_SOURCE).alias("source")
-    )
-    has_score = F.col("comment_sentiment").isNotNull() & F.col("comment_sentiment_score").isNotNull()
+    as neutral when the text is missing or hashed. Adds `_label`, `_score` and `_source`."""
+    carried = F.col("comment_sentiment").isNotNull() & F.col("comment_sentiment_score").isNotNull()
     readable = present("comment_text") & ~F.coalesce(F.col("comment_text_is_hashed"), F.lit(False))
-    chosen = F.when(has_score, carried).when(readable, comment_sentiment(F.col("comment_text"))).otherwise(neutral)
-    return comments.withColumn("s", chosen)
+    to_score = F.when(readable & ~carried, F.col("comment_text"))
+    # Only rows that need it have a text to score; the struct of the others is NULL.
+    scored = with_comment_sentiment(comments.withColumn("_carried", carried), to_score)
+    found = F.col("s").isNotNull()
+    return scored.withColumns(
+        {
+            "_label": F.when(F.col("_carried"), F.col("comment_sentiment"))
+            .when(found, F.col("s.label"))
+            .otherwise(F.lit("neutral")),
+            "_score": F.when(F.col("_carried"), F.col("comment_sentiment_score").cast("double"))
+            .when(found, F.col("s.score"))
+            .otherwise(F.lit(50.0)),
+            "_source": F.when(F.col("_carried"), F.coalesce("comment_sentiment_source", F.lit(RULE_SOURCE)))
+            .when(found, F.col("s.source"))
+            .otherwise(F.lit(MISSING_TEXT_SOURCE)),
+        }
+    ).drop("s", "_carried")
 
 
 def _falsy_score(score: Column) -> Column:
@@ -60,9 +68,9 @@ def comment_sentiment_rows(comments: DataFrame, anonymize: bool = True) -> DataF
         (hash_pii(text) if anonymize else repair_mojibake(text)).alias("comment"),
         (F.when(text != "", F.lit(True)).otherwise(already) if anonymize else already).alias("comment_text_is_hashed"),
         safe_int(F.col("comment_like_count")).alias("like_count"),
-        F.coalesce(F.nullif("s.label", F.lit("")), F.lit("neutral")).alias("sentiment"),
-        half_up(_falsy_score(F.col("s.score")), 2).alias("sentiment_score"),
-        F.coalesce(F.nullif("s.source", F.lit("")), F.lit(RULE_SOURCE)).alias("sentiment_source"),
+        F.coalesce(F.nullif("_label", F.lit("")), F.lit("neutral")).alias("sentiment"),
+        half_up(_falsy_score(F.col("_score")), 2).alias("sentiment_score"),
+        F.coalesce(F.nullif("_source", F.lit("")), F.lit(RULE_SOURCE)).alias("sentiment_source"),
         text_or_empty("comment_published_at").alias("comment_published_at"),
         text_or_empty("collected_at").alias("collected_at"),
     )
@@ -71,8 +79,8 @@ def comment_sentiment_rows(comments: DataFrame, anonymize: bool = True) -> DataF
 def content_sentiment(comments: DataFrame) -> DataFrame:
     """Mean score and label counts per video over all raw comment rows, repeats included."""
     scored = with_sentiment_default(comments.where(present("video_id")))
-    label = F.coalesce(F.nullif("s.label", F.lit("")), F.lit("neutral"))
-    rows = scored.select("video_id", label.alias("_label"), to_units(_falsy_score(F.col("s.score")), 6).alias("_units"))
+    label = F.coalesce(F.nullif("_label", F.lit("")), F.lit("neutral"))
+    rows = scored.select("video_id", label.alias("_label"), to_units(_falsy_score(F.col("_score")), 6).alias("_units"))
     mean = mean_of_units(F.sum("_units"), F.count(F.lit(1)), 6, 2)
     return (
         rows.groupBy("video_id")
@@ -103,7 +111,7 @@ def with_content_sentiment(videos: DataFrame, comments: DataFrame) -> DataFrame:
     )
 
 
-_FEATURES = [
+_CONTENT = [
     "platform", "creator_id", "creator_name", "content_id", "content_title", "publish_time", "follower_count",
     "content_count", "view_count", "like_count", "comment_count", "share_count", "engagement_rate", "likes_per_view",
     "comments_per_view", "shares_per_view", "sentiment_score", "sentiment_label", "positive_comment_count",
@@ -125,19 +133,18 @@ def youtube_features(videos: DataFrame, comments: DataFrame) -> DataFrame:
         F.col("channel_video_count").alias("content_count"),
         F.lit(0).cast("bigint").alias("share_count"),
         F.lit(0.0).alias("shares_per_view"),
-    ).select(_FEATURES)
+    ).select(_CONTENT)
 
 
-def tiktok_features(creators: DataFrame, videos: DataFrame) -> DataFrame:
+def tiktok_features(videos: DataFrame) -> DataFrame:
     """Shares join the engagement and activity; sentiment is neutral and the rounded activity
-    enters the trust score."""
-    sizes = creators.select("creator_id", "follower_count", "content_count")
-    rows = attach_per_key(videos, sizes, ["creator_id"], ["content_id"])
+    enters the trust score. The creator's sizes are not known here and stay NULL."""
     views, likes = F.col("view_count"), F.col("like_count")
     comments, shares = F.col("comment_count"), F.col("share_count")
     zero = F.lit(0).cast("bigint")
+    unknown = F.lit(None).cast("bigint")
     return (
-        rows.withColumn("engagement_rate", per_view(likes + comments + shares, views))
+        videos.withColumn("engagement_rate", per_view(likes + comments + shares, views))
         .withColumn("activity_score", half_up(activity_percent(comments + shares), 2))
         .select(
             "*",
@@ -152,52 +159,77 @@ def tiktok_features(creators: DataFrame, videos: DataFrame) -> DataFrame:
             rule_trust(F.col("engagement_rate"), F.lit(50.0), F.col("activity_score")).alias("trust_score"),
             is_suspicious_rule(F.col("engagement_rate"), views, comments).alias("is_suspicious"),
             F.lit(LABEL_SOURCE).alias("label_source"),
+            unknown.alias("follower_count"),
+            unknown.alias("content_count"),
         )
-        .withColumn("follower_count", F.coalesce("follower_count", zero))
-        .withColumn("content_count", F.coalesce("content_count", zero))
-        .select(_FEATURES)
+        .select(_CONTENT)
+    )
+
+
+def content_features(youtube_videos: DataFrame, youtube_comments: DataFrame, tiktok_videos: DataFrame) -> DataFrame:
+    """One row per content of either platform, without the columns that come from the creator."""
+    return youtube_features(youtube_videos, youtube_comments).unionByName(tiktok_features(tiktok_videos))
+
+
+def publish_times(youtube_videos: DataFrame, tiktok_videos: DataFrame) -> DataFrame:
+    """Creator and publish time of every content: all that the upload frequency needs."""
+    youtube = youtube_videos.select(
+        "platform", F.col("channel_id").alias("creator_id"), F.col("published_at").alias("publish_time")
     )
+    return youtube.unionByName(tiktok_videos.select("platform", "creator_id", "publish_time"))
 
 
-def upload_frequency(features: DataFrame) -> DataFrame:
+def upload_frequency(content: DataFrame) -> DataFrame:
     """Uploads per week and creator: n for at most one upload, else n per whole days between the
-    first and last one, times seven. The uploads counted come along as `_weight`."""
-    timed = features.where(present("creator_id")).select(
-        "platform", "creator_id", parse_timestamp(F.col("publish_time")).alias("_at")
+    first and last one, times seven; 0 without a readable time. `_weight` counts the rows."""
+    timed = content.where(present("creator_id")).select("platform", "creator_id", "publish_time").withColumn(
+        "_at", F.unix_timestamp(parse_timestamp(F.col("publish_time")))
     )
-    per_creator = timed.where(F.col("_at").isNotNull()).groupBy("platform", "creator_id").agg(
+    per_creator = timed.groupBy("platform", "creator_id").agg(
         F.count(F.lit(1)).alias("_weight"),
-        (F.unix_timestamp(F.max("_at")) - F.unix_timestamp(F.min("_at"))).alias("_span"),
+        F.count("_at").alias("_uploads"),
+        (F.max("_at") - F.min("_at")).alias("_span"),
     )
     days = F.greatest(F.floor(F.col("_span") / F.lit(86400.0)), F.lit(1).cast("bigint"))
-    weekly = half_up(F.col("_weight") / days * F.lit(7.0), 4)
+    weekly = half_up(F.col("_uploads") / days * F.lit(7.0), 4)
     return per_creator.select(
         "platform",
         "creator_id",
-        F.when(F.col("_weight") <= 1, F.col("_weight").cast("double")).otherwise(weekly).alias("upload_frequency"),
+        F.when(F.col("_uploads") <= 1, F.col("_uploads").cast("double")).otherwise(weekly).alias("upload_frequency"),
         "_weight",
     )
 
 
-def add_upload_frequency(features: DataFrame) -> DataFrame:
-    """Creators without a readable publish time get 0."""
-    per_creator = upload_frequency(features)
-    keys = ["platform", "creator_id"]
-    attached = attach_per_key(
-        features,
-        per_creator.drop("_weight"),
-        keys,
-        ["content_id"],
-        weights=per_creator.select(*keys, "_weight"),
+def creator_sizes(tiktok_creators: DataFrame) -> DataFrame:
+    return tiktok_creators.select(
+        "platform",
+        "creator_id",
+        F.col("follower_count").alias("_followers"),
+        F.col("content_count").alias("_contents"),
     )
-    return attached.withColumn("upload_frequency", F.coalesce("upload_frequency", F.lit(0.0)))
 
 
 def unified_features(
     youtube_videos: DataFrame, youtube_comments: DataFrame, tiktok_creators: DataFrame, tiktok_videos: DataFrame
 ) -> DataFrame:
-    """One row per content of either platform: the 28 contract columns and `first_seq`."""
-    both = youtube_features(youtube_videos, youtube_comments).unionByName(
-        tiktok_features(tiktok_creators, tiktok_videos)
+    """One row per content of either platform: the 28 contract columns and `first_seq`.
+
+    What comes from the creator (sizes, upload frequency) is gathered into one row per creator,
+    stored, and attached in a single join; creators without sizes count 0.
+    """
+    keys = ["platform", "creator_id"]
+    frequency = upload_frequency(publish_times(youtube_videos, tiktok_videos))
+    per_creator = cut_lineage(frequency.join(creator_sizes(tiktok_creators), keys, "left"))
+    content = content_features(youtube_videos, youtube_comments, tiktok_videos)
+    attached = attach_per_key(
+        content, per_creator.drop("_weight"), keys, ["content_id"], weights=per_creator.select(*keys, "_weight")
     )
-    return add_upload_frequency(both).withColumn("follower_growth_rate", F.lit(None).cast("double"))
+    zero = F.lit(0).cast("bigint")
+    return attached.withColumns(
+        {
+            "follower_count": F.coalesce("follower_count", "_followers", zero),
+            "content_count": F.coalesce("content_count", "_contents", zero),
+            "upload_frequency": F.coalesce("upload_frequency", F.lit(0.0)),
+            "follower_growth_rate": F.lit(None).cast("double"),
+        }
+    ).drop("_followers", "_contents")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import safe_int
@@ -52,7 +54,7 @@ def split_counts(rows: DataFrame, suffix: str) -> DataFrame:
 
 
 def dataset_stats(
-    raw: dict[str, DataFrame],
+    raw: Mapping[str, DataFrame],
     features: DataFrame,
     comments: DataFrame,
     trust_scores: DataFrame,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -11,14 +12,47 @@ from ..operators import bronze, gold, quality, silver, stats
 from ..sources import readers, writers
 
 
-@dataclass
 class Tables:
-    youtube_channels: DataFrame
-    youtube_videos: DataFrame
-    tiktok_creators: DataFrame
-    tiktok_videos: DataFrame
-    comments: DataFrame
-    features: DataFrame
+    """Bronze and silver tables of raw inputs; each is planned when first asked for."""
+
+    def __init__(self, raw: Mapping[str, DataFrame], anonymize: bool = True) -> None:
+        self.raw = raw
+        self.anonymize = anonymize
+
+    @cached_property
+    def youtube_channels(self) -> DataFrame:
+        return bronze.build_youtube_channels(self.raw["youtube_channels"], self.raw["youtube_channel_seeds"])
+
+    @cached_property
+    def youtube_videos(self) -> DataFrame:
+        return bronze.build_youtube_videos(self.raw["youtube_videos"])
+
+    @cached_property
+    def tiktok_creators(self) -> DataFrame:
+        return bronze.build_tiktok_creators(self.raw["tiktok_creators"], self.raw["tiktok_videos"])
+
+    @cached_property
+    def tiktok_videos(self) -> DataFrame:
+        return bronze.build_tiktok_videos(self.raw["tiktok_videos"])
+
+    @cached_property
+    def comments(self) -> DataFrame:
+        return silver.comment_sentiment_rows(self.raw["youtube_comments"], self.anonymize)
+
+    @cached_property
+    def content(self) -> DataFrame:
+        """Content features without creator columns; with `sizes` enough for creator totals."""
+        return silver.content_features(self.youtube_videos, self.raw["youtube_comments"], self.tiktok_videos)
+
+    @cached_property
+    def sizes(self) -> DataFrame:
+        return silver.creator_sizes(self.tiktok_creators)
+
+    @cached_property
+    def features(self) -> DataFrame:
+        return silver.unified_features(
+            self.youtube_videos, self.raw["youtube_comments"], self.tiktok_creators, self.tiktok_videos
+        )
 
 
 RAW_FILES = {
@@ -55,29 +89,14 @@ def read_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
-def refine(raw: dict[str, DataFrame], anonymize: bool = True) -> Tables:
-    """Bronze and silver tables, all lazy."""
-    videos = bronze.build_youtube_videos(raw["youtube_videos"])
-    creators = bronze.build_tiktok_creators(raw["tiktok_creators"], raw["tiktok_videos"])
-    tiktok = bronze.build_tiktok_videos(raw["tiktok_videos"])
-    return Tables(
-        youtube_channels=bronze.build_youtube_channels(raw["youtube_channels"], raw["youtube_channel_seeds"]),
-        youtube_videos=videos,
-        tiktok_creators=creators,
-        tiktok_videos=tiktok,
-        comments=silver.comment_sentiment_rows(raw["youtube_comments"], anonymize),
-        features=silver.unified_features(videos, raw["youtube_comments"], creators, tiktok),
-    )
-
-
-def build_dataset(spark: SparkSession, raw: dict[str, DataFrame], out: str, anonymize: bool = True) -> DataFrame:
+def build_dataset(spark: SparkSession, raw: Mapping[str, DataFrame], out: str, anonymize: bool = True) -> DataFrame:
     """Write all tables below `out` and return the statistics rows.
 
     Each layer is read back from its written files by the next one, so nothing is computed twice
     and nothing has to stay in memory.
     """
     out = out.rstrip("/")
-    tables = refine(raw, anonymize)
+    tables = Tables(raw, anonymize)
     writers.write_table(tables.youtube_channels, f"{out}/bronze/youtube/channels", schemas.YOUTUBE_CHANNEL_COLUMNS)
     keep = "first_seq"
     writers.write_table(tables.youtube_videos, f"{out}/bronze/youtube/videos", [*schemas.YOUTUBE_VIDEO_COLUMNS, keep])

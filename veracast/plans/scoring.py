@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import score as S
 from ..functions.numeric import clamp, first_nonblank, first_truthy_number, half_up, to_float
-from ..functions.sentiment import unit_sentiment
+from ..functions.sentiment import with_unit_sentiment
 from ..ml.sentiment import text_scores
 from ..schemas import TRUST_CATEGORICAL_FEATURES, TRUST_NUMERIC_FEATURES
 
@@ -52,7 +52,7 @@ def _with_text_score(df: DataFrame, sentiment_model: PipelineModel | None) -> Da
     if sentiment_model is not None:
         staged = text_scores(staged, "_text", "_text_score", sentiment_model)
     else:
-        staged = staged.withColumn("_text_score", unit_sentiment(F.col("_text")))
+        staged = with_unit_sentiment(staged, F.col("_text"), "_text_score")
     return staged.withColumn("_text_score", F.when(F.col("_text").isNotNull(), F.col("_text_score")))
 
 

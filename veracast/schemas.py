@@ -1,39 +1,32 @@
-"""Column contracts: raw inputs, tables of each layer, stream payload."""
+"""Column contracts: raw inputs, tables of each layer, stream payload. Schemas are DDL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
-
-
 # Counts are read as text, so that numbers and numeric strings both parse and the rest becomes 0.
-RAW_YOUTUBE_CHANNELS = _struct(
+RAW_YOUTUBE_CHANNELS = (
     "platform string, channel_id string, channel_name string, seed_keyword string, category string, "
     "subscriber_count string, video_count string, view_count string, collected_at string"
 )
-RAW_YOUTUBE_SEEDS = _struct(
+RAW_YOUTUBE_SEEDS = (
     "seed_keyword string, platform string, channel_id string, channel_name string, subscriber_count string, "
     "video_count string, view_count string, channel_url string, collected_at string"
 )
-RAW_YOUTUBE_VIDEOS = _struct(
+RAW_YOUTUBE_VIDEOS = (
     "platform string, channel_id string, channel_name string, video_id string, video_title string, "
     "published_at string, view_count string, like_count string, comment_count string, subscriber_count string, "
     "video_count string, collected_at string"
 )
-RAW_YOUTUBE_COMMENTS = _struct(
+RAW_YOUTUBE_COMMENTS = (
     "platform string, channel_id string, video_id string, comment_id string, parent_comment_id string, "
     "is_reply boolean, comment_author_display_name string, comment_author_channel_id string, comment_text string, "
     "comment_text_is_hashed boolean, comment_like_count string, comment_sentiment string, "
     "comment_sentiment_score double, comment_sentiment_source string, comment_published_at string, collected_at string"
 )
-RAW_TIKTOK_CREATORS = _struct(
+RAW_TIKTOK_CREATORS = (
     "platform string, creator_id string, creator_name string, username string, category string, "
     "follower_count string, following_count string, content_count string, collected_at string"
 )
-RAW_TIKTOK_VIDEOS = _struct(
+RAW_TIKTOK_VIDEOS = (
     "platform string, content_id string, creator_id string, creator_name string, username string, "
     "content_title string, caption string, hashtags array<string>, publish_time string, view_count string, "
     "like_count string, comment_count string, share_count string, collected_at string"
@@ -42,7 +35,7 @@ RAW_TIKTOK_VIDEOS = _struct(
 API_STATISTICS = (
     "struct<viewCount: string, likeCount: string, commentCount: string, subscriberCount: string, videoCount: string>"
 )
-API_ITEM = _struct(
+API_ITEM = (
     "id string, snippet struct<title: string, channelId: string, channelTitle: string, publishedAt: string>, "
     f"statistics {API_STATISTICS}, collected_at string"
 )
@@ -51,7 +44,7 @@ COMMENT_SNIPPET = (
     "struct<textOriginal: string, textDisplay: string, authorDisplayName: string, authorChannelId: string, "
     "likeCount: string, publishedAt: string>"
 )
-COMMENT_THREAD = _struct(
+COMMENT_THREAD = (
     "video_id string, channel_id string, collected_at string, "
     f"snippet struct<topLevelComment: struct<id: string, snippet: {COMMENT_SNIPPET}>>, "
     f"replies struct<comments: array<struct<id: string, snippet: {COMMENT_SNIPPET}>>>"
@@ -106,14 +99,14 @@ CREATOR_PROFILE_COLUMNS = [
 ]
 
 # Counts are LONG: a 32-bit field would turn counts above 2^31 into NULL and then into 0.
-STREAM_EVENT = _struct(
+STREAM_EVENT = (
     "kol_id string, kol_name string, channel_id string, channel_title string, channel string, platform string, "
     "source string, video_id string, timestamp string, crawled_at string, views bigint, view_count bigint, "
     "likes bigint, like_count bigint, comments bigint, comment_count bigint, shares bigint, followers bigint, "
     "subscriber_count bigint, upload_frequency_7d double, live_concurrent_viewers double, "
     "follower_growth_rate double, comment_spam_ratio double, text string"
 )
-STREAM_RECORD = _struct("value binary, topic string, partition int, offset bigint, timestamp timestamp")
+STREAM_RECORD = ("value binary, topic string, partition int, offset bigint, timestamp timestamp")
 
 SERVING_COLUMNS = [
     "kol_id", "event_ts", "kol_name", "platform", "video_id", "views", "likes", "comments", "shares", "followers",
@@ -130,7 +123,7 @@ LIVE_EVENT = (
     "timestamp: string, user_id: string, value: string, sentiment_score: double, is_suspicious: boolean, "
     "metadata: map<string, string>>"
 )
-LIVE_BUNDLE = _struct(
+LIVE_BUNDLE = (
     "profile struct<kol_id: string, name: string, platform: string, category: string, followers: string, "
     "verified: boolean, reputation_score: double, risk_profile: string, default_mode: string>, "
     "metrics struct<live_id: string, kol_id: string, title: string, started_at: string, timestamp: string, "

@@ -9,6 +9,8 @@ DuckDB statements in `plans.oracle` repeat.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.buckets import identity_profile
@@ -25,6 +27,8 @@ WORD_SWAPS = (
     (" la ", " lừa đảo "),
     (" for ", " not "),
 )
+# Letters of the documents that the mojibake query breaks; others keep a text from being repaired.
+BROKEN_LETTERS = "éèóüöáíàêßäçÉÈÖÜÄÇÊ"
 EVENT_TYPES = {"view": "view", "click": "like", "error": "comment", "signup": "follower", "purchase": "purchase"}
 
 
@@ -242,16 +246,48 @@ def comment_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "youtube_channels": youtube_channels(spark, sf_dir),
-        "youtube_channel_seeds": youtube_seeds(spark, sf_dir),
-        "youtube_videos": youtube_videos(spark, sf_dir),
-        "youtube_comments": youtube_comments(spark, sf_dir),
-        "tiktok_creators": tiktok_creators(spark, sf_dir),
-        "tiktok_videos": tiktok_videos(spark, sf_dir),
+class RawTables(Mapping):
+    """The raw inputs by name, each planned when first asked for."""
+
+    BUILDERS = {
+        "youtube_channels": youtube_channels,
+        "youtube_channel_seeds": youtube_seeds,
+        "youtube_videos": youtube_videos,
+        "youtube_comments": youtube_comments,
+        "tiktok_creators": tiktok_creators,
+        "tiktok_videos": tiktok_videos,
     }
 
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._source = (spark, sf_dir)
+        self._planned: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._planned:
+            self._planned[name] = self.BUILDERS[name](*self._source)
+        return self._planned[name]
+
+    def __iter__(self):
+        return iter(self.BUILDERS)
+
+    def __len__(self) -> int:
+        return len(self.BUILDERS)
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> RawTables:
+    return RawTables(spark, sf_dir)
+
+
+def broken_letters(text: Column) -> Column:
+    for letter in BROKEN_LETTERS:
+        text = F.replace(text, F.lit(letter), F.lit(misread(letter)))
+    return text
+
+
+def misread(letter: str) -> str:
+    """The letter's UTF-8 bytes read as cp1252."""
+    return letter.encode("utf-8").decode("cp1252")
+
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))

@@ -27,11 +27,11 @@ def with_input_order(df: DataFrame, name: str = "seq") -> DataFrame:
     )
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: StructType, ordered: bool = False, quarantine: bool = False) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: str, ordered: bool = False, quarantine: bool = False) -> DataFrame:
     """JSON lines. A missing path is an empty table, blank lines are skipped and a bad line ends
     the read; with `quarantine` bad lines are kept whole in `_corrupt_record`."""
     if quarantine:
-        schema = StructType([*schema.fields]).add(CORRUPT, "string")
+        schema = f"{schema}, {CORRUPT} string"
     reader = spark.read.schema(schema)
     reader = (
         reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
@@ -48,7 +48,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: StructType, ordered: bool
     return with_input_order(rows) if ordered else rows
 
 
-def read_csv(spark: SparkSession, path: str, limit: int | None = None, schema: StructType | None = None) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, limit: int | None = None, schema: str | None = None) -> DataFrame:
     """CSV with a header; a byte-order mark is dropped and empty fields are NULL."""
     reader = (
         spark.read.option("header", True).option("nullValue", "").option("encoding", "UTF-8")
@@ -64,13 +64,14 @@ def read_csv(spark: SparkSession, path: str, limit: int | None = None, schema: S
     return rows if limit is None else rows.limit(max(0, limit))
 
 
-def read_json_records(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines by suffix; else one array, one object with `records`, or one object per file."""
     if path.rstrip("/").endswith(".jsonl"):
         return read_jsonl(spark, path, schema)
-    wrapped = StructType([*schema.fields]).add("records", f"array<{schema.simpleString()}>")
+    fields = spark.createDataFrame([], schema).schema
+    wrapped = StructType([*fields]).add("records", f"array<{fields.simpleString()}>")
     rows = spark.read.schema(wrapped).option("multiLine", True).option("mode", "FAILFAST").json(path)
-    own = F.array(F.struct(*[F.col(field.name) for field in schema.fields]))
+    own = F.array(F.struct(*fields.names))
     return rows.select(F.inline(F.coalesce("records", own)))
 
 

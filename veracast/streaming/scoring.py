@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import score as S
 from ..functions.numeric import half_up
-from ..functions.sentiment import unit_sentiment
+from ..functions.sentiment import with_unit_sentiment
 from ..ml.sentiment import text_scores
 from ..plans.scoring import LOW_TRUST_BELOW, SUSPICIOUS_FROM, _score
 from ..schemas import SCORED_COLUMNS, STREAM_EVENT
@@ -74,7 +74,7 @@ def score_stream(
     """
     base = coalesce_aliases(parse_records(records))
     if sentiment_model is None:
-        base = base.withColumn("_sentiment", unit_sentiment(F.col("text")))
+        base = with_unit_sentiment(base, F.col("text"), "_sentiment")
     else:
         base = text_scores(base, "text", "_sentiment", sentiment_model)
         base = base.withColumn("_sentiment", F.when(F.col("text") != "", F.col("_sentiment")).otherwise(0.5))
