@@ -84,7 +84,9 @@ def with_comment_sentiment(df: DataFrame, text: Column, output: str = "s") -> Da
     phrases = _phrase_hits(padded, POSITIVE_TERMS) - _phrase_hits(padded, NEGATIVE_TERMS)
     raw = _token_balance(F.col("_folded")) + phrases
     score = F.greatest(F.lit(0), F.least(F.lit(100), F.lit(50) + raw * 20)).cast("double")
-    staged = df.withColumn("_folded", fold_text(text)).withColumn("_score", score)
+    # greatest and least pass over NULL, so text that is not there is kept out here.
+    known = F.when(F.col("_folded").isNotNull(), score)
+    staged = df.withColumn("_folded", fold_text(text)).withColumn("_score", known)
     # Positive hits lift the score over 50 and negative ones push it below, so the score tells the label.
     parts = F.struct(
         score_label(F.col("_score")).alias("label"), F.col("_score").alias("score"), F.lit(RULE_SOURCE).alias("source")
