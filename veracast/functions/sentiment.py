@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .numeric import clamp
@@ -33,13 +35,25 @@ NO_COMMENTS_SOURCE = "no_comments_default_neutral"
 MISSING_TEXT_SOURCE = "missing_comment_text_default_neutral"
 
 TOKEN = r"[\p{L}\p{N}_À-ỹ]+"
+BETWEEN_TOKENS = r"[^a-z0-9_À-ỹ\p{L}\p{N}]+"
 BLANKS = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+UNCOMMON = r"[^ -~À-ɏ]|  "
+
+
+def one_blank(text: Column) -> Column:
+    """Every run of blanks as a single space. A quick look for other characters than common ones
+    and for double spaces spares most texts the slow search for all kinds of blanks."""
+    return F.when(text.rlike(UNCOMMON), F.regexp_replace(text, BLANKS, " ")).otherwise(text)
 
 
 def fold_text(text: Column) -> Column:
-    """Lower case with sharp s spelled out, blanks collapsed, ends trimmed."""
-    lowered = F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
-    return F.trim(F.regexp_replace(lowered, BLANKS, " "))
+    """Blanks collapsed and ends trimmed, of text in lower case."""
+    return F.trim(one_blank(text))
+
+
+def lower_fold(text: Column) -> Column:
+    """Lower case with sharp s spelled out."""
+    return F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
 
 
 def _phrases(terms: tuple[str, ...]) -> list[str]:
@@ -57,23 +71,34 @@ def _phrase_hits(padded: Column, terms: tuple[str, ...]) -> Column:
     return hits
 
 
-def _token_balance(folded: Column) -> Column:
+def _any_of(terms: Sequence[str]) -> str:
+    """One alternative per first letter, so that a token is turned down after few comparisons."""
+    tails: dict[str, list[str]] = {}
+    for term in terms:
+        tails.setdefault(term[0], []).append(term[1:])
+    return "(?:" + "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in tails.items()) + ")"
+
+
+def _token_codes(folded: Column) -> Column:
+    """One letter per token: P positive, N negative, X negation, a dot for any other. Words are
+    lower case here, so the capitals are free to serve as codes."""
+    positive, negative = _single(POSITIVE_TERMS), _single(NEGATIVE_TERMS)
+    words = F.concat(F.lit(" "), F.trim(F.regexp_replace(folded, BETWEEN_TOKENS, " ")), F.lit(" "))
+    coded = F.regexp_replace(words, f"(?<= )(?!{_any_of([*positive, *negative, *NEGATION_TERMS])} )[^ ]+", ".")
+    for terms, code in ((positive, "P"), (negative, "N"), (NEGATION_TERMS, "X")):
+        coded = F.regexp_replace(coded, f"(?<= ){_any_of(terms)}(?= )", code)
+    return F.replace(coded, F.lit(" "), F.lit(""))
+
+
+def _token_balance(codes: Column) -> Column:
     """Positive minus negative token hits; a hit counts -1 with a negation among the three tokens
-    before it. One pass over the tokens carries the distance to the last negation."""
-    tokens = F.regexp_extract_all(folded, F.lit(TOKEN), F.lit(0))
-    start = F.struct(F.lit(NEGATION_REACH).alias("since"), F.lit(0).alias("balance"))
+    before it."""
 
-    def step(state: Column, token: Column) -> Column:
-        sign = F.when(state["since"] < NEGATION_REACH, -1).otherwise(1)
-        polarity = (
-            F.when(token.isin(_single(POSITIVE_TERMS)), 1).when(token.isin(_single(NEGATIVE_TERMS)), -1).otherwise(0)
-        )
-        since = F.when(token.isin(list(NEGATION_TERMS)), F.lit(0)).otherwise(
-            F.least(state["since"] + 1, F.lit(NEGATION_REACH))
-        )
-        return F.struct(since.alias("since"), (state["balance"] + sign * polarity).alias("balance"))
+    def hits(code: str) -> Column:
+        negated = F.regexp_count(codes, F.lit(f"(?<=X.{{0,{NEGATION_REACH - 1}}}){code}"))
+        return F.regexp_count(codes, F.lit(code)) - negated * 2
 
-    return F.aggregate(tokens, start, step, lambda state: state["balance"])
+    return hits("P") - hits("N")
 
 
 def with_comment_sentiment(df: DataFrame, text: Column, output: str = "s") -> DataFrame:
@@ -82,16 +107,17 @@ def with_comment_sentiment(df: DataFrame, text: Column, output: str = "s") -> Da
     made once per row."""
     padded = F.concat(F.lit(" "), F.col("_folded"), F.lit(" "))
     phrases = _phrase_hits(padded, POSITIVE_TERMS) - _phrase_hits(padded, NEGATIVE_TERMS)
-    raw = _token_balance(F.col("_folded")) + phrases
+    raw = _token_balance(F.col("_codes")) + phrases
     score = F.greatest(F.lit(0), F.least(F.lit(100), F.lit(50) + raw * 20)).cast("double")
     # greatest and least pass over NULL, so text that is not there is kept out here.
     known = F.when(F.col("_folded").isNotNull(), score)
-    staged = df.withColumn("_folded", fold_text(text)).withColumn("_score", known)
+    folded = df.withColumn("_lowered", lower_fold(text)).withColumn("_folded", fold_text(F.col("_lowered")))
+    staged = folded.withColumn("_codes", _token_codes(F.col("_folded"))).withColumn("_score", known)
     # Positive hits lift the score over 50 and negative ones push it below, so the score tells the label.
     parts = F.struct(
         score_label(F.col("_score")).alias("label"), F.col("_score").alias("score"), F.lit(RULE_SOURCE).alias("source")
     )
-    return staged.withColumn(output, F.when(F.col("_score").isNotNull(), parts)).drop("_folded", "_score")
+    return staged.withColumn(output, F.when(F.col("_score").isNotNull(), parts)).drop("_lowered", "_folded", "_codes", "_score")
 
 
 def score_label(score: Column) -> Column:
@@ -112,13 +138,13 @@ def with_unit_sentiment(df: DataFrame, text: Column, output: str) -> DataFrame:
             found = found + F.col("_lowered").contains(word).cast("int")
         return found
 
-    lowered = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), BLANKS, " ")
-    staged = df.withColumn("_lowered", lowered).withColumns(
+    cased = df.withColumn("_cased", F.lower(F.coalesce(text, F.lit(""))))
+    staged = cased.withColumn("_lowered", one_blank(F.col("_cased"))).withColumns(
         {"_good": hits(UNIT_POSITIVE_WORDS), "_bad": hits(UNIT_NEGATIVE_WORDS)}
     )
     good, bad = F.col("_good"), F.col("_bad")
     lean = (good - bad) / F.greatest(F.lit(4), good + bad).cast("double")
-    return staged.withColumn(output, clamp(F.lit(0.5) + lean * F.lit(0.5))).drop("_lowered", "_good", "_bad")
+    return staged.withColumn(output, clamp(F.lit(0.5) + lean * F.lit(0.5))).drop("_cased", "_lowered", "_good", "_bad")
 
 
 def unit_label(score: Column) -> Column:

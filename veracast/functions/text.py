@@ -48,7 +48,10 @@ _HIGH_BYTES = _HIGH_CHARS.encode("cp1252").decode("latin-1")
 
 
 def has_mojibake(value: Column) -> Column:
-    return F.coalesce(value.rlike("|".join(MOJIBAKE_MARKERS)), F.lit(False))
+    found = F.lit(False)
+    for marker in MOJIBAKE_MARKERS:
+        found = found | value.contains(marker)
+    return F.coalesce(found, F.lit(False))
 
 
 def repair_mojibake(value: Column) -> Column:
@@ -60,7 +63,7 @@ def repair_mojibake(value: Column) -> Column:
     encodable = ~value.rlike(f"[^\\x00-\\x7f\\xa0-\\xff{_HIGH_CHARS}]")
     as_bytes = F.encode(F.translate(value, _HIGH_CHARS, _HIGH_BYTES), "ISO-8859-1")
     decoded = F.try_validate_utf8(as_bytes.cast("string"))
-    return F.coalesce(F.when(has_mojibake(value) & encodable, decoded), value)
+    return F.coalesce(F.when(has_mojibake(value), F.when(encodable, decoded)), value)
 
 
 def hash_pii(value: Column) -> Column:
@@ -107,7 +110,9 @@ def category_mask(lowered: Column) -> Column:
     creator combine with bit_or, which is how a category is found without joining the texts."""
     mask = F.lit(0)
     for bit, keywords in enumerate(CATEGORY_KEYWORDS.values()):
-        found = lowered.rlike("|".join(keywords))
+        found = F.lit(False)
+        for keyword in keywords:
+            found = found | lowered.contains(keyword)
         mask = mask.bitwiseOR(F.when(found, F.lit(1 << bit)).otherwise(F.lit(0)))
     return mask
 

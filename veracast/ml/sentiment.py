@@ -10,17 +10,19 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import clamp, half_up
 from ..functions.sentiment import unit_label, with_unit_sentiment
+from ..session import balanced, cut_lineage
 
 # What a class is worth, and other spellings of the classes.
 LABEL_TO_SCORE = {"negative": 0.15, "neutral": 0.50, "positive": 0.85}
 LABEL_ALIASES = {"0": "negative", "1": "neutral", "2": "positive", "neg": "negative", "neu": "neutral", "pos": "positive"}
 
 MIN_ROWS = 6
-MAX_ITERATIONS = 1000
+MAX_ITERATIONS = 100
+TOLERANCE = 1e-4
 SEED = 42
 TEST_SHARE = 0.25
 # Hashed n-grams need no vocabulary on the driver, so none of them has to be dropped.
-TERM_SPACE = 1 << 18
+TERM_SPACE = 1 << 16
 
 
 def normalize_label(label: Column) -> Column:
@@ -76,8 +78,12 @@ def stratified_split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def train_sentiment(train: DataFrame, term_space: int = TERM_SPACE) -> PipelineModel:
-    """Fit on (text, label_name) rows. Rare classes weigh more, in inverse proportion."""
-    counts = {row["label_name"]: row["n"] for row in train.groupBy("label_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """Fit on (text, label_name) rows. Rare classes weigh more, in inverse proportion. The rows are
+    stored first, since the fit reads them many times."""
+    train = cut_lineage(balanced(train))
+    per_label = train.groupBy("label_name").agg(F.count(F.lit(1)).alias("n"))
+    # At most three classes come back.
+    counts = {row["label_name"]: row["n"] for row in per_label.collect()}
     total = sum(counts.values())
     if total < MIN_ROWS:
         raise ValueError(f"need at least {MIN_ROWS} labelled comments, got {total}")
@@ -96,7 +102,7 @@ def train_sentiment(train: DataFrame, term_space: int = TERM_SPACE) -> PipelineM
         Normalizer(inputCol="weighted", outputCol="features", p=2.0),
         LogisticRegression(
             featuresCol="features", labelCol="label", weightCol="weight", maxIter=MAX_ITERATIONS,
-            regParam=1.0 / total, family="multinomial", standardization=False,
+            regParam=1.0 / total, tol=TOLERANCE, family="multinomial", standardization=False,
         ),
     ]
     return Pipeline(stages=stages).fit(prepared)

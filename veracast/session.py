@@ -53,3 +53,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise `df` in the shared folder, so that losing an executor does not lose it."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Even partitions for rows that an iterative fit reads many times."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
