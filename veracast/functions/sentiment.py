@@ -95,8 +95,9 @@ def _token_balance(codes: Column) -> Column:
     before it."""
 
     def hits(code: str) -> Column:
+        found = F.length(codes) - F.length(F.replace(codes, F.lit(code), F.lit("")))
         negated = F.regexp_count(codes, F.lit(f"(?<=X.{{0,{NEGATION_REACH - 1}}}){code}"))
-        return F.regexp_count(codes, F.lit(code)) - negated * 2
+        return found - F.when(codes.contains("X"), negated).otherwise(F.lit(0)) * 2
 
     return hits("P") - hits("N")
 

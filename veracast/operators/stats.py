@@ -15,7 +15,8 @@ from .keyed import id_counts
 def count_possible_mojibake(df: DataFrame) -> DataFrame:
     """Rows with a marker in any text column."""
     texts = [name for name, kind in df.dtypes if kind == "string"]
-    return df.agg(F.count_if(has_mojibake(F.concat_ws("\n", *texts))).alias("rows_with_mojibake"))
+    joined = df.select(F.concat_ws("\n", *texts).alias("_text"))
+    return joined.agg(F.count_if(has_mojibake(F.col("_text"))).alias("rows_with_mojibake"))
 
 
 def _long(df: DataFrame, section: str, names: dict[str, str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 CORRUPT = "_corrupt_record"
 ORDER_TYPE = "struct<at: timestamp, file: string, split: bigint, row: bigint>"
@@ -69,7 +69,7 @@ def read_json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
     if path.rstrip("/").endswith(".jsonl"):
         return read_jsonl(spark, path, schema)
     fields = spark.createDataFrame([], schema).schema
-    wrapped = StructType([*fields]).add("records", f"array<{fields.simpleString()}>")
+    wrapped = StructType([*fields]).add("records", ArrayType(fields))
     rows = spark.read.schema(wrapped).option("multiLine", True).option("mode", "FAILFAST").json(path)
     own = F.array(F.struct(*fields.names))
     return rows.select(F.inline(F.coalesce("records", own)))

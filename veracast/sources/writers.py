@@ -43,7 +43,7 @@ def write_stats(stats: DataFrame, path: str, **notes: str) -> None:
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("metric", "value")))).alias("metrics")
     )
     # The statistics are a fixed list of a few dozen numbers.
-    document = per_section.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("section", "metrics")))).alias("stats"))
+    document = per_section.agg(F.map_from_entries(F.collect_list(F.struct("section", "metrics"))).alias("stats"))
     extra = [F.lit(value).alias(name) for name, value in notes.items()]
     document.select(*extra, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX").alias("built_at"), "stats").coalesce(
         1
