@@ -14,16 +14,11 @@ HEADLINE = [
     "creator_trust_leaderboard",
     "unified_features",
     "content_sentiment",
-    "comment_threads",
     "dedupe_latest",
-    "upload_frequency",
-    "creator_profiles",
     "mojibake",
-    "category",
     "stream_scores",
     "score_events",
     "latest_per_creator",
-    "top_creators",
     "timeseries",
     "live_metrics",
     "overview_kpis",

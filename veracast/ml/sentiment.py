@@ -17,12 +17,12 @@ LABEL_TO_SCORE = {"negative": 0.15, "neutral": 0.50, "positive": 0.85}
 LABEL_ALIASES = {"0": "negative", "1": "neutral", "2": "positive", "neg": "negative", "neu": "neutral", "pos": "positive"}
 
 MIN_ROWS = 6
-MAX_ITERATIONS = 100
+MAX_ITERATIONS = 50
 TOLERANCE = 1e-4
 SEED = 42
 TEST_SHARE = 0.25
 # Hashed n-grams need no vocabulary on the driver, so none of them has to be dropped.
-TERM_SPACE = 1 << 16
+TERM_SPACE = 1 << 14
 
 
 def normalize_label(label: Column) -> Column:

@@ -725,7 +725,8 @@ def _labelled_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def train_eval_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = sentiment_ml.stratified_split(_labelled_comments(spark, sf_dir))
-    model = sentiment_ml.train_sentiment(train)
+    # The synthetic prose has a few thousand word forms.
+    model = sentiment_ml.train_sentiment(train, term_space=1 << 12)
     return sentiment_ml.classification_report(sentiment_ml.predict_labels(test, model))
 
 
