@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from veracast import schemas
-from veracast.operators import api_items, gold, quality, silver
+from veracast.operators import api_items, quality
 from veracast.plans import api, build, scoring
 from veracast.sources import readers, writers
 
