@@ -61,10 +61,13 @@ def keep_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
     A null doc_id is an id like another one.
     """
-    ids = kept.select(F.col("doc_id").cast("long").alias("__kept_id")).distinct()
-    rows = docs.withColumn("__own_id", F.col("doc_id").cast("long"))
-    found = rows.join(ids, F.col("__own_id").eqNullSafe(F.col("__kept_id")), "left_semi")
-    return found.dropDuplicates(["__own_id"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    def key(c: str):
+        return F.coalesce(F.col(c).cast("long").cast("string"), F.lit("")).alias("__id_key")
+
+    ids = kept.select(key("doc_id")).distinct()
+    # The same key partitions the join and the removal of repeated ids: the texts move once.
+    found = docs.select("*", key("doc_id")).join(ids, "__id_key", "left_semi")
+    return found.dropDuplicates(["__id_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def text_list(column: pa.Array | pa.ChunkedArray) -> list[str]:
