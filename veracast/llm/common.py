@@ -7,8 +7,9 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veracast.session import scratch_path
 
@@ -26,7 +27,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def arrow_stage(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
+def arrow_stage(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType) -> DataFrame:
     """`work` on each Arrow batch of `df`, inside the task that has it."""
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -37,7 +38,7 @@ def arrow_stage(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
     return partition_stage(df, stage, schema)
 
 
-def partition_stage(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def partition_stage(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """`work` on the batches of each partition. The workers find this package where the driver has it;
     on a cluster without that path it comes by --py-files."""
     env = df.sparkSession.sparkContext.environment
@@ -56,19 +57,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 
-def keep_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose doc_id is in `kept`, one row for each id, with their own columns only.
+def _id_key(name: str) -> Column:
+    """A doc_id as a text that is never null, so that a null id is an id like another one."""
+    return F.coalesce(F.col(name).cast("long").cast("string"), F.lit("")).alias("__id_key")
 
-    A null doc_id is an id like another one.
-    """
-    def key(c: str):
-        return F.coalesce(F.col(c).cast("long").cast("string"), F.lit("")).alias("__id_key")
 
-    ids = kept.select(key("doc_id")).distinct()
+def keep_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The documents whose doc_id is in `kept`, one row for each id, with their own columns only."""
     # The same key partitions the join and the removal of repeated ids: the texts move once.
-    found = docs.select("*", key("doc_id")).join(ids, "__id_key", "left_semi")
+    found = docs.select("*", _id_key("doc_id")).join(kept.select(_id_key("doc_id")).distinct(), "__id_key", "left_semi")
     return found.dropDuplicates(["__id_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def drop_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents whose doc_id is not in `gone`, with their own columns only."""
+    left = docs.select("*", _id_key("doc_id")).join(gone.select(_id_key("doc_id")).distinct(), "__id_key", "left_anti")
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def text_list(column: pa.Array | pa.ChunkedArray) -> list[str]:
     return column.to_pylist()

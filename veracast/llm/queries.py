@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_text, line_dedup, token_counts, toxicity
+from . import bpe, decontamination, exact_dedup, html_text, line_dedup, simhash, token_counts, toxicity
 from .common import read
 
 
@@ -29,10 +29,18 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(read(spark, sf_dir, "pages"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(read(spark, sf_dir, "documents"))
 
@@ -46,12 +54,31 @@ QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
     "op4_token_counts": op4_token_counts,
+    "op5_simhash": op5_simhash,
     "op6_html": op6_html,
+    "op7_decontamination": op7_decontamination,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
 ORACLE = {
+    "op7_decontamination": """
+        WITH doc_words AS (
+            SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE text IS NOT NULL
+        ), item_words AS (
+            SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark WHERE text IS NOT NULL
+        ), doc_shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)]
+                                               WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM doc_words
+        ), item_shingles AS (
+            SELECT DISTINCT item_id, unnest(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)]
+                                                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM item_words
+        ), sizes AS (SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id),
+        shared AS (
+            SELECT d.doc_id, i.item_id, count(*) AS k FROM doc_shingles d JOIN item_shingles i ON d.s = i.s GROUP BY ALL
+        )
+        SELECT doc_id, item_id, k::BIGINT AS n_shared, n::BIGINT AS n_shingles, k::DOUBLE / n AS containment
+        FROM shared JOIN sizes USING (item_id) WHERE 10 * k >= 8 * n""",
     "op2_line_dedup": """
         WITH cut AS (
             SELECT doc_id, coalesce(source, '') AS site, unnest(string_split(coalesce(text, ''), chr(10))) AS line,

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import arrow_stage, partition_stage, stored, text_list, texts
 from .word_hash import WordHashes, mixed, owners, sequences
@@ -172,13 +173,8 @@ class Scorer:
         return out
 
 
-def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted for each row's whole text.
-
-    A null or empty text has no features and gets the bias alone. Every input row gives one row,
-    repeated ids too; a null doc_id is not held out. Without labels of both classes the score is
-    1.0 if the known ones are toxic and else 0.0. An empty table gives an empty result.
-    """
+def _scored(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
+    """`docs` has doc_id, text and `document`, the whole row, which goes along untouched."""
     # The model's size is bounded by the labelled sample.
     sent = docs.sparkSession.sparkContext.broadcast(model)
     cell: list[Scorer] = []
@@ -187,9 +183,29 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
         if not cell:
             cell.append(Scorer(sent.value))
         found = cell[0].scores(text_list(batch.column("text")))
-        columns = [batch.column("doc_id"), pa.array(found), pa.array((found >= threshold).astype(np.int32))]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "score", "predicted"])
+        columns = [batch.column("doc_id"), batch.column("document"), pa.array(found), pa.array((found >= threshold).astype(np.int32))]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "document", "score", "predicted"])
+
+    kinds = [docs.schema["doc_id"], docs.schema["document"], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    return arrow_stage(docs, work, T.StructType(kinds))
+
 
-    scored = arrow_stage(texts(docs), work, "doc_id long, score double, predicted int")
+def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, held_out, score, predicted for each row's whole text.
+
+    A null or empty text has no features and gets the bias alone. Every input row gives one row,
+    repeated ids too; a null doc_id is not held out. Without labels of both classes the score is
+    1.0 if the known ones are toxic and else 0.0. An empty table gives an empty result.
+    """
+    scored = _scored(texts(docs).withColumn("document", F.lit(True)), model, threshold)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of `docs`, as they are, whose text is not predicted to be toxic. No row moves to another task."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
+    own = whole.select(
+        F.col("document.doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("document.text").cast("string"), F.lit("")).alias("text"), "document"
+    )
+    return _scored(own, model, threshold).filter("predicted = 0").select("document.*")
