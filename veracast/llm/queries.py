@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, exact_dedup, html_text, line_dedup, simhash, token_counts, toxicity
+from . import bpe, decontamination, exact_dedup, html_text, line_dedup, simhash, substring_dedup, suffix_dedup, token_counts, toxicity
 from .common import read
 
 
@@ -25,6 +25,15 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def _removed(spans: str) -> Column:
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["begin"]).alias("n_removed")
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_passages(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", _removed("spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -41,6 +50,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+    n_spans = F.size("spans").cast("long").alias("n_spans")
+    return kept.select("doc_id", "n_bytes", _removed("spans"), n_spans, F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(read(spark, sf_dir, "documents"))
 
@@ -53,10 +68,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_simhash": op5_simhash,
     "op6_html": op6_html,
     "op7_decontamination": op7_decontamination,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
 }
