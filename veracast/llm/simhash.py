@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -124,9 +124,9 @@ def _links(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(x.view(np.int64), y.view(np.int64))), pa.array(np.maximum(x.view(np.int64), y.view(np.int64)))], ["a", "b"])
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+def _groups(batches: Iterator[pa.RecordBatch], group: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     """(group number, fp) arrays of whole groups from rows sorted by (key, fp), in pieces; of a group that is
-    larger than GROUP only pieces, marked so."""
+    larger than `group` only pieces, marked so."""
     keys, fps = np.empty(0, np.int64), np.empty(0, np.uint64)
     in_large = None
     for batch in batches:
@@ -143,7 +143,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
         if begin:
             yield keys[:begin], fps[:begin], False
             keys, fps = keys[begin:], fps[begin:]
-        if len(keys) > GROUP:
+        if len(keys) > group:
             in_large = keys[-1]
             yield keys, fps, True
             keys, fps = keys[:0], fps[:0]
@@ -151,23 +151,24 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
         yield keys, fps, False
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], group: int) -> Iterator[pa.RecordBatch]:
     """Links inside the groups of sorted (key, fp) rows; rows of large groups come out as (key, fp) for dealing."""
-    for keys, fps, large in _groups(batches):
+    small = min(8, group)
+    for keys, fps, large in _groups(batches, group):
         a, b, big = [], [], []
         if not large:
             begins = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             sizes = np.diff(np.append(begins, len(keys)))
             size_of = np.repeat(sizes, sizes)
-            for step in range(1, 8):  # small groups all at once, by distance in the order
-                at = np.flatnonzero((size_of[:-step] <= 8) & (keys[:-step] == keys[step:])) if len(keys) > step else np.empty(0, np.int64)
+            for step in range(1, small):  # small groups all at once, by distance in the order
+                at = np.flatnonzero((size_of[:-step] <= small) & (keys[:-step] == keys[step:])) if len(keys) > step else np.empty(0, np.int64)
                 if not len(at):
                     break
                 at = at[np.bitwise_count(fps[at] ^ fps[at + step]) <= BITS]
                 a.append(fps[at])
                 b.append(fps[at + step])
-            for begin, size in zip(begins[sizes > 8].tolist(), sizes[sizes > 8].tolist()):
-                if size > GROUP:
+            for begin, size in zip(begins[sizes > 8].tolist(), sizes[sizes > small].tolist()):
+                if size > group:
                     big.append(slice(begin, begin + size))
                 else:
                     for x, y in _spanning(fps[begin : begin + size]):
@@ -206,7 +207,7 @@ def _compare_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield from done()
 
 
-def links(fps: DataFrame) -> DataFrame:
+def links(fps: DataFrame, group: int = GROUP) -> DataFrame:
     """(a, b) with a < b: links between distinct fingerprints that leave the same components as all links."""
 
     def keyed(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -217,11 +218,11 @@ def links(fps: DataFrame) -> DataFrame:
     small = fps.select("fp").distinct()
     rows = arrow_stage(small, keyed, "key long, fp long")
     sorted_rows = rows.repartition("key").sortWithinPartitions("key", "fp")
-    first = stored(partition_stage(sorted_rows, _compare, "key long, a long, b long"), "simhash-links")
+    first = stored(partition_stage(sorted_rows, partial(_compare, group=group), "key long, a long, b long"), "simhash-links")
     found = first.filter("key IS NULL").select("a", "b")
     # A large group is cut into parts by a hash; every two parts meet in a task of their own.
     large = first.filter("key IS NOT NULL").select("key", F.col("a").alias("fp"))
-    parts = large.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(GROUP / 2)).cast("int").alias("parts"))
+    parts = large.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(max(group, 2) / 2)).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     dealt = large.join(parts, "key").withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "fp")
@@ -229,7 +230,7 @@ def links(fps: DataFrame) -> DataFrame:
     return found.unionByName(partition_stage(met, _compare_parts, "a long, b long")).distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id, for each row's whole text.
 
     Texts whose fingerprints differ in at most four bits are linked; component_id is the smallest
@@ -239,7 +240,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     of null ids alone has a null component_id. An empty table gives an empty result.
     """
     own = stored(fingerprints(docs), "fingerprints")
-    roots = components(links(own))
+    roots = components(links(own, group))
     nodes = own.groupBy("fp").agg(F.min("doc_id").alias("least")).join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     nodes = nodes.select("fp", F.coalesce("root", "fp").alias("root"), "least")
     least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
