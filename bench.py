@@ -23,6 +23,15 @@ HEADLINE = [
     "live_metrics",
     "overview_kpis",
     "windowed_activity",
+    "comment_threads",
+    "upload_frequency",
+    "creator_profiles",
+    "category",
+    "top_creators",
+    "dataset_stats",
+    "scores_from_serving",
+    "creator_bundles",
+    "export_bundle",
     "quality_comments",
     "stream_scores_available_now",
 ]

@@ -17,12 +17,12 @@ LABEL_TO_SCORE = {"negative": 0.15, "neutral": 0.50, "positive": 0.85}
 LABEL_ALIASES = {"0": "negative", "1": "neutral", "2": "positive", "neg": "negative", "neu": "neutral", "pos": "positive"}
 
 MIN_ROWS = 6
-MAX_ITERATIONS = 50
+MAX_ITERATIONS = 1000
 TOLERANCE = 1e-4
 SEED = 42
 TEST_SHARE = 0.25
 # Hashed n-grams need no vocabulary on the driver, so none of them has to be dropped.
-TERM_SPACE = 1 << 14
+TERM_SPACE = 1 << 18
 
 
 def normalize_label(label: Column) -> Column:
@@ -92,7 +92,7 @@ def train_sentiment(train: DataFrame, term_space: int = TERM_SPACE) -> PipelineM
         weight = F.when(F.col("label_name") == name, F.lit(total / (len(counts) * rows))).otherwise(weight)
     prepared = train.select(_plain(F.col("text")).alias("plain"), "label_name", weight.alias("weight"))
     stages = [
-        StringIndexer(inputCol="label_name", outputCol="label", handleInvalid="skip", stringOrderType="alphabetAsc"),
+        StringIndexer(inputCol="label_name", outputCol="label", handleInvalid="error", stringOrderType="alphabetAsc"),
         RegexTokenizer(inputCol="plain", outputCol="words", pattern=r"[\p{L}\p{N}_]{2,}", gaps=False),
         NGram(n=2, inputCol="words", outputCol="pairs"),
         HashingTF(inputCol="words", outputCol="word_counts", numFeatures=term_space),

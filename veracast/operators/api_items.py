@@ -48,14 +48,19 @@ def normalize_channels(items: DataFrame) -> DataFrame:
     )
 
 
-def normalize_videos(items: DataFrame, channels: DataFrame) -> DataFrame:
+def normalize_videos(items: DataFrame, channels: DataFrame, order: str = "collected_at") -> DataFrame:
     """Video items with their channel's sizes; the channel also stands in for missing names.
-    The channel of an item is found by the channel id in its snippet."""
-    lookup = channels.select(
-        F.col("channel_id").alias("_channel"),
-        F.col("channel_name").alias("_channel_name"),
-        F.col("subscriber_count").alias("_subscribers"),
-        F.col("video_count").alias("_videos"),
+    The channel of an item is found by the channel id in its snippet; of a channel listed several
+    times the last row by `order` counts, so no video is multiplied."""
+    values = F.struct(F.col("channel_name"), F.col("subscriber_count"), F.col("video_count"))
+    last = channels.groupBy(F.col("channel_id").alias("_channel")).agg(
+        F.max_by(values, F.struct(F.col(order), values)).alias("_last")
+    )
+    lookup = last.select(
+        "_channel",
+        F.col("_last.channel_name").alias("_channel_name"),
+        F.col("_last.subscriber_count").alias("_subscribers"),
+        F.col("_last.video_count").alias("_videos"),
     )
     rows = items.withColumn("_channel", F.col("snippet.channelId"))
     base = attach_per_key(rows, lookup, ["_channel"], ["id"]).select(

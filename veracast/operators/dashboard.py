@@ -6,24 +6,14 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numeric import half_up, to_units
 from ..functions.score import dashboard_label, dashboard_risk, falsy_to, trust_label
-from .keyed import last_n
 
-EVENTS_SHOWN = 250
-
-
-def recent_scores(scores: DataFrame, limit: int = EVENTS_SHOWN) -> DataFrame:
-    """The newest scored rows per creator, `recency` 1 being the latest."""
-    return last_n(scores, ["kol_id"], [F.desc("event_ts"), F.col("video_id")], limit)
-
-
-def live_summary(recent: DataFrame) -> DataFrame:
-    """One row per creator from its recent scored rows: latest measures, event and suspicious
-    counts, risk and the trust figure derived from it."""
+def live_summary(scores: DataFrame) -> DataFrame:
+    """One row per creator from all its scored rows: measures of the latest one (the largest video id
+    of several), event and suspicious counts, risk and the trust figure derived from it."""
     values = ["kol_name", "platform", "followers", "views", "comments", "anomaly_score", "sentiment_score",
               "trust_score", "is_suspicious", "event_ts"]
-    # Every group holds at most as many rows as `recent_scores` was asked for.
-    latest = recent.groupBy("kol_id").agg(
-        F.min_by(F.struct(*values), "recency").alias("_row"),
+    latest = scores.groupBy("kol_id").agg(
+        F.max_by(F.struct(*values), F.struct("event_ts", "video_id")).alias("_row"),
         F.count(F.lit(1)).alias("events"),
         F.count_if("is_suspicious").alias("suspicious_events"),
     )

@@ -72,6 +72,7 @@ def attach_per_key(
     weights: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of one lookup row per key onto many rows per key, without piling a hot key up.
+    A lookup with several rows of a key would multiply rows: callers reduce it first.
 
     The HOT_KEYS keys with the most rows are read off a key count and their lookup rows are
     broadcast: a list of fixed length whatever the data size. Rows of those keys, and rows without

@@ -33,8 +33,8 @@ def window_counts(newest: DataFrame) -> DataFrame:
         F.count_if(suspicious).alias("feature_suspicious"),
         F.count_if(comment).alias("feature_comments"),
         F.coalesce(F.sum(F.when(scored, units)), F.lit(0)).alias("feature_sentiment"),
-        # At most FEATURE_EVENTS users per creator are in the window.
-        F.size(F.collect_set("user_id")).alias("feature_users"),
+        # At most FEATURE_EVENTS users per creator are in the window; those without an id are one.
+        (F.size(F.collect_set("user_id")) + F.max(F.col("user_id").isNull().cast("int"))).alias("feature_users"),
     )
 
 

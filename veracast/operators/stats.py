@@ -12,6 +12,10 @@ from .gold import with_split
 from .keyed import id_counts
 
 
+SPLITS = ("train", "eval", "analysis_profile")
+_MARKED = "possible_mojibake_output_rows"
+
+
 def count_possible_mojibake(df: DataFrame) -> DataFrame:
     """Rows with a marker in any text column."""
     texts = [name for name, kind in df.dtypes if kind == "string"]
@@ -54,6 +58,18 @@ def split_counts(rows: DataFrame, suffix: str) -> DataFrame:
     return _long(counts, "splits", names)
 
 
+def _table_figures(rows: DataFrame, *more) -> DataFrame:
+    """One row: row count, rows per split, rows with a mis-decoded text, and what is asked for besides."""
+    texts = [name for name, kind in rows.dtypes if kind == "string"]
+    marked = has_mojibake(F.concat_ws("\n", *texts))
+    return with_split(rows).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(F.col("split") == name).alias(name) for name in SPLITS],
+        F.count_if(marked).alias("marked"),
+        *more,
+    )
+
+
 def dataset_stats(
     raw: Mapping[str, DataFrame],
     features: DataFrame,
@@ -61,39 +77,38 @@ def dataset_stats(
     trust_scores: DataFrame,
     serving: DataFrame,
 ) -> DataFrame:
-    """(section, metric, value) rows over raw inputs and built tables."""
+    """(section, metric, value) rows over raw inputs and built tables, one aggregate for each table."""
     parts: list[DataFrame] = []
     parts += raw_table_stats(raw["youtube_channels"], "channel_id", "youtube_channels", False)
     parts += raw_table_stats(raw["youtube_videos"], "video_id", "youtube_videos", True)
     parts += raw_table_stats(raw["tiktok_creators"], "creator_id", "tiktok_creators", False)
     parts += raw_table_stats(raw["tiktok_videos"], "content_id", "tiktok_videos", True)
     parts.append(_long(raw["youtube_comments"].agg(F.count(F.lit(1)).alias("n")), "raw", {"n": "youtube_comments"}))
-    per_platform = features.agg(
-        F.count(F.lit(1)).alias("n"),
+    of_features = _table_figures(
+        features,
         F.count_if(F.col("platform") == "youtube").alias("youtube"),
         F.count_if(F.col("platform") == "tiktok").alias("tiktok"),
         F.count_if(F.col("is_suspicious") == 1).alias("flagged"),
     )
-    parts.append(
-        _long(
-            per_platform,
-            "unified",
-            {"n": "feature_rows", "youtube": "youtube_rows", "tiktok": "tiktok_rows", "flagged": "suspicious_rows"},
-        )
+    of_comments = _table_figures(comments)
+    texts = [name for name, kind in serving.dtypes if kind == "string"]
+    of_serving = serving.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("views") <= 0).alias("zero"),
+        F.count_if(has_mojibake(F.concat_ws("\n", *texts))).alias("marked"),
     )
-    parts.append(split_counts(features, "rows"))
-    parts.append(split_counts(comments, "comment_rows"))
-    parts.append(_long(comments.agg(F.count(F.lit(1)).alias("n")), "comments", {"n": "sentiment_rows"}))
+    wide = [
+        (of_features, [("unified", "feature_rows", "n"), ("unified", "youtube_rows", "youtube"), ("unified", "tiktok_rows", "tiktok"),
+                       ("unified", "suspicious_rows", "flagged"), ("quality", _MARKED, "marked"), *[("splits", f"{name}_rows", name) for name in SPLITS]]),
+        (of_comments, [("comments", "sentiment_rows", "n"), ("quality", _MARKED, "marked"), *[("splits", f"{name}_comment_rows", name) for name in SPLITS]]),
+        (of_serving, [("sample", "serving_events", "n"), ("sample", "zero_view_rows", "zero"), ("quality", _MARKED, "marked")]),
+    ]
+    for figures, named in wide:
+        pairs = [F.struct(F.lit(section).alias("section"), F.lit(metric).alias("metric"), F.col(column).cast("bigint").alias("value")) for section, metric, column in named]
+        parts.append(figures.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*"))
     parts.append(_long(trust_scores.agg(F.count(F.lit(1)).alias("n")), "features", {"n": "trust_score_rows"}))
-    events = serving.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("views") <= 0).alias("zero"))
-    parts.append(_long(events, "sample", {"n": "serving_events", "zero": "zero_view_rows"}))
-    marked = None
-    for table in (features, comments, serving):
-        one = count_possible_mojibake(table)
-        marked = one if marked is None else marked.unionByName(one)
-    total = marked.agg(F.sum("rows_with_mojibake").alias("n"))
-    parts.append(_long(total, "quality", {"n": "possible_mojibake_output_rows"}))
     stats = parts[0]
     for part in parts[1:]:
         stats = stats.unionByName(part)
-    return stats
+    # Rows with a marker are reported for all output tables together.
+    return stats.groupBy("section", "metric").agg(F.sum("value").alias("value"))

@@ -6,13 +6,15 @@ report sizes; what they cut is always taken from the fully ranked or time-ordere
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import half_up
 from ..functions.score import falsy_to, risk_profile, trust_label
 from ..operators.keyed import last_n, latest_per_key
-from .scoring import features_to_events, score_events
+from .scoring import event_columns, features_to_events, score_events
 
 
 def _labelled(scores: DataFrame) -> DataFrame:
@@ -37,8 +39,13 @@ def top_creators(scores: DataFrame, limit: int = 10) -> DataFrame:
 
 def creator_directory(scores: DataFrame) -> DataFrame:
     """All creators with reputation and risk; `directory_by_reputation` sorts them."""
+    return latest_per_creator(scores).select(*_directory_columns())
+
+
+def _directory_columns() -> list[Column | str]:
+    """Directory columns of a creator's latest scored row."""
     score = F.coalesce("trust_score", F.lit(0.0))
-    return latest_per_creator(scores).select(
+    return [
         "kol_id",
         F.coalesce(F.nullif("kol_name", F.lit("")), F.col("kol_id")).alias("name"),
         F.coalesce(F.nullif("platform", F.lit("")), F.lit("unknown")).alias("platform"),
@@ -47,7 +54,7 @@ def creator_directory(scores: DataFrame) -> DataFrame:
         half_up(score / F.lit(100.0), 4).alias("reputation_score"),
         risk_profile(score).alias("risk_profile"),
         F.lit("normal").alias("default_mode"),
-    )
+    ]
 
 
 def directory_by_reputation(directory: DataFrame) -> DataFrame:
@@ -110,7 +117,11 @@ def _zero(name: str) -> Column:
 
 def metrics_of(latest: DataFrame) -> DataFrame:
     """Metric rows of latest scored rows."""
-    return latest.select(
+    return latest.select(*_metric_columns())
+
+
+def _metric_columns() -> list[Column | str]:
+    return [
         F.concat(F.lit("spark_"), "kol_id").alias("live_id"),
         "kol_id",
         F.concat(F.lit("Realtime trust evaluation for "), F.coalesce("kol_name", "kol_id")).alias("title"),
@@ -126,7 +137,7 @@ def metrics_of(latest: DataFrame) -> DataFrame:
         F.coalesce("anomaly_score", F.lit(0.0)).alias("bot_probability"),
         F.coalesce("is_suspicious", F.lit(False)).alias("suspicious_spike"),
         trust_label(F.coalesce("trust_score", F.lit(0.0))).alias("trust_signal"),
-    )
+    ]
 
 
 def metrics(scores: DataFrame, kol_id: str) -> DataFrame:
@@ -135,8 +146,12 @@ def metrics(scores: DataFrame, kol_id: str) -> DataFrame:
 
 def features_of(latest: DataFrame) -> DataFrame:
     """Feature rows of latest scored rows."""
+    return latest.select(*_feature_columns())
+
+
+def _feature_columns() -> list[Column | str]:
     anomaly = F.coalesce("anomaly_score", F.lit(0.0))
-    return latest.select(
+    return [
         "kol_id",
         "kol_name",
         "platform",
@@ -155,7 +170,7 @@ def features_of(latest: DataFrame) -> DataFrame:
         trust_label(F.coalesce("trust_score", F.lit(0.0))).alias("trust_label"),
         F.col("event_ts").alias("timestamp"),
         F.lit("spark_streaming").alias("trust_source"),
-    )
+    ]
 
 
 def features(scores: DataFrame, kol_id: str) -> DataFrame:
@@ -164,8 +179,12 @@ def features(scores: DataFrame, kol_id: str) -> DataFrame:
 
 def audit_events(scores: DataFrame) -> DataFrame:
     """Scored rows in the shape of events."""
+    return scores.select(*_audit_columns())
+
+
+def _audit_columns() -> list[Column | str]:
     stamp = F.date_format("event_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return scores.select(
+    return [
         F.concat_ws("_", F.lit("spark"), "kol_id", stamp).alias("event_id"),
         "kol_id",
         "kol_name",
@@ -184,7 +203,7 @@ def audit_events(scores: DataFrame) -> DataFrame:
         "engagement_rate",
         "anomaly_score",
         F.lit("spark_streaming").alias("trust_source"),
-    )
+    ]
 
 
 def events(scores: DataFrame, kol_id: str, limit: int = 100) -> DataFrame:
@@ -212,18 +231,22 @@ def bundle(scores: DataFrame, kol_id: str, limit: int = 100) -> DataFrame:
 
 
 def all_bundles(scores: DataFrame, limit: int = 100) -> DataFrame:
-    """The bundle of every creator, events listed per creator up to `limit`."""
+    """The bundle of every creator, events listed per creator up to `limit`: one last-N and one
+    aggregate, which also finds the latest row that profile, metrics and features come from."""
     recent = all_timeseries(scores, limit)
-    rows = audit_events(recent)
-    fields = F.struct("timestamp", *[name for name in rows.columns if name not in ("timestamp", "kol_id")])
-    listed = rows.groupBy("kol_id").agg(F.sort_array(F.collect_list(fields)).alias("recent_events"))
-    latest = recent.where(F.col("recency") == 1).drop("recency")
-    return (
-        creator_directory(latest)
-        .select("kol_id", F.struct("*").alias("profile"))
-        .join(metrics_of(latest).select("kol_id", F.struct("*").alias("metrics")), "kol_id")
-        .join(listed, "kol_id")
-        .join(features_of(latest).select("kol_id", F.struct("*").alias("model_features")), "kol_id")
+    names = audit_events(scores).columns
+    event = recent.withColumn("_event", F.struct(*_audit_columns()))
+    fields = F.struct("_event.timestamp", *[f"_event.{name}" for name in names if name not in ("timestamp", "kol_id")])
+    per_creator = event.groupBy("kol_id").agg(
+        F.sort_array(F.collect_list(fields)).alias("recent_events"),
+        F.min_by(F.struct(*[name for name in scores.columns if name != "kol_id"]), "recency").alias("_latest"),
+    )
+    return per_creator.select("kol_id", "recent_events", "_latest.*").select(
+        "kol_id",
+        F.struct(*_directory_columns()).alias("profile"),
+        F.struct(*_metric_columns()).alias("metrics"),
+        "recent_events",
+        F.struct(*_feature_columns()).alias("model_features"),
     )
 
 
@@ -244,21 +267,30 @@ def export_events(unified: DataFrame, limit: int = 500) -> DataFrame:
     return features_to_events(export_features(unified, limit))
 
 
-def export_bundle(unified: DataFrame, trust_scores: DataFrame, limit: int = 500) -> DataFrame:
-    """One row with lists of at most `limit` features, leaderboard rows and events."""
-
+def export_bundle(
+    unified: DataFrame, trust_scores: DataFrame, limit: int = 500, stats: DataFrame | None = None, manifest: Sequence[str] = ()
+) -> DataFrame:
+    """One row with lists of at most `limit` features, leaderboard rows and events, the names of the
+    tables in the manifest, and the build statistics if they are given. Features and events come
+    from one pass."""
     chosen = export_features(unified, limit)
+    names = [name for name in chosen.columns if name != "first_seq"]
     leaders = trust_scores.orderBy("rank").limit(limit)
-    as_events = features_to_events(chosen)
     parts = [
-        rows.select(F.struct(*[name for name in rows.columns if name != "first_seq"]).alias(part))
-        for part, rows in (("features", chosen), ("trust_scores", leaders), ("events", as_events))
+        chosen.select(F.struct(*names).alias("features"), F.struct(*event_columns()).alias("events")),
+        leaders.select(F.struct("*").alias("trust_scores")),
     ]
+    lists = ["features", "trust_scores", "events"]
+    if stats is not None:
+        # One row per figure of the build.
+        parts.append(stats.select(F.struct("*").alias("stats")))
+        lists.append("stats")
     stacked = parts[0]
     for part in parts[1:]:
         stacked = stacked.unionByName(part, allowMissingColumns=True)
     # collect_list skips the NULLs of the other parts; every list has at most `limit` entries.
-    return stacked.agg(*[F.collect_list(name).alias(name) for name in ("features", "trust_scores", "events")])
+    row = stacked.agg(*[F.collect_list(name).alias(name) for name in lists])
+    return row.withColumn("manifest", F.array(*map(F.lit, manifest)).cast("array<string>"))
 
 
 def evaluate(unified: DataFrame, limit: int = 500, trust_model: PipelineModel | None = None) -> DataFrame:

@@ -505,7 +505,13 @@ def export_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def export_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = _features(spark, sf_dir)
     whole = api.export_bundle(features, _leaderboard(spark, sf_dir), 500)
-    return whole.select(*[F.size(name).alias(f"{name}_rows") for name in ("features", "trust_scores", "events")])
+    sizes = [F.size(name).alias(f"{name}_rows") for name in ("features", "trust_scores", "events")]
+
+    def total(part: str, field: str):
+        return F.aggregate(F.col(part), F.lit(0).cast("bigint"), lambda sums, row: sums + row[field]).alias(f"{part}_{field}")
+
+    sums = [total("features", "view_count"), total("trust_scores", "total_views"), total("events", "likes")]
+    return whole.select(*sizes, *sums)
 
 
 @query
@@ -568,7 +574,7 @@ def windowed_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.live_summary(dashboard.recent_scores(_scores(spark, sf_dir)))
+    return dashboard.live_summary(_scores(spark, sf_dir))
 
 
 @query
@@ -725,8 +731,7 @@ def _labelled_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def train_eval_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = sentiment_ml.stratified_split(_labelled_comments(spark, sf_dir))
-    # The synthetic prose has a few thousand word forms.
-    model = sentiment_ml.train_sentiment(train, term_space=1 << 12)
+    model = sentiment_ml.train_sentiment(train)
     return sentiment_ml.classification_report(sentiment_ml.predict_labels(test, model))
 
 

@@ -353,8 +353,7 @@ CTES: dict[str, str] = {
     "newest": """
         SELECT * FROM score_rows QUALIFY row_number() OVER (PARTITION BY kol_id ORDER BY ts DESC, video_id DESC) = 1""",
     "recent_scores": """
-        SELECT *, row_number() OVER (PARTITION BY kol_id ORDER BY ts DESC, video_id) AS recency FROM score_rows
-        QUALIFY recency <= 250""",
+        SELECT *, row_number() OVER (PARTITION BY kol_id ORDER BY ts DESC, video_id) AS recency FROM score_rows""",
     "summary": f"""
         SELECT *, {half_up('(1e0 - risk) * 100e0', 1)} AS trust_score, {half_up('risk', 4)} AS risk_score,
                CASE WHEN risk >= 0.65e0 THEN 'risky' WHEN risk >= 0.38e0 THEN 'watch' ELSE 'trusted' END AS risk_label
@@ -364,10 +363,9 @@ CTES: dict[str, str] = {
                      is_suspicious AS suspicious_spike, event_time AS timestamp,
                      {clamp('anomaly_score * 0.4e0 + anomaly_score * 0.3e0 + (1e0 - ' + falsy('sentiment_score', '0.5e0')
                             + ') * 0.2e0 + (1e0 - 0.5e0) * 0.1e0')} AS risk
-              FROM recent_scores r
+              FROM newest r
               JOIN (SELECT kol_id, count(*) AS events, count(*) FILTER (WHERE is_suspicious) AS suspicious_events
-                    FROM recent_scores GROUP BY kol_id) n ON n.kol_id = r.kol_id
-              WHERE recency = 1)""",
+                    FROM score_rows GROUP BY kol_id) n ON n.kol_id = r.kol_id)""",
     "directory": f"""
         SELECT kol_id, kol_name AS name, platform, followers, trust_score >= 70 AS verified,
                {half_up('trust_score / 100e0', 4)} AS reputation_score,
@@ -712,10 +710,13 @@ QUERIES: dict[str, str] = {
                (SELECT least(100, count(*))::INTEGER FROM score_rows s WHERE s.kol_id = 'k7') AS recent_rows, trust_score
         FROM newest n WHERE n.kol_id = 'k7'""",
     "export_features": f"SELECT {UNIFIED} FROM unified {IN_ORDER} LIMIT 500",
-    "export_bundle": """
+    "export_bundle": f"""
         SELECT least(500, (SELECT count(*) FROM unified))::INTEGER AS features_rows,
                least(500, (SELECT count(*) FROM leaderboard))::INTEGER AS trust_scores_rows,
-               least(500, (SELECT count(*) FROM unified))::INTEGER AS events_rows""",
+               least(500, (SELECT count(*) FROM unified))::INTEGER AS events_rows,
+               (SELECT sum(view_count) FROM (SELECT * FROM unified {IN_ORDER} LIMIT 500))::BIGINT AS features_view_count,
+               (SELECT sum(total_views) FROM (SELECT * FROM leaderboard ORDER BY rank LIMIT 500))::BIGINT AS trust_scores_total_views,
+               (SELECT sum(like_count) FROM (SELECT * FROM unified {IN_ORDER} LIMIT 500))::BIGINT AS events_likes""",
     "evaluate": f"{FEATURE_SCORE} {IN_ORDER} LIMIT 500",
     "live_metrics": f"""
         SELECT live_id, kol_id, viewers, likes, shares, comments, purchases, engagement AS engagement_rate,

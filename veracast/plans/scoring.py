@@ -169,6 +169,13 @@ def score_events(
 ) -> DataFrame:
     """The 18-column scored row of each event. Engagement and activity are always recomputed; the
     sentiment of events without text is taken as it comes and passed on as a percentage."""
+    return _scored_rows(events, trust_model, sentiment_model)
+
+
+def _scored_rows(
+    events: DataFrame, trust_model: PipelineModel | None = None, sentiment_model: PipelineModel | None = None, *more: str
+) -> DataFrame:
+    """The scored rows, with columns of the events in `more` beside them."""
     staged = _with_text_score(events, sentiment_model).withColumns(_counts(events))
     uploads = to_float(optional(events, "upload_frequency_7d"), 2.0)
     own = F.coalesce(F.col("_text_score"), to_float(optional(events, "sentiment_score"), 0.5))
@@ -211,12 +218,17 @@ def score_events(
         predicted["trust_label"].alias("trust_label"),
         predicted["trust_source"].alias("trust_source"),
         predicted["is_suspicious"].alias("is_suspicious"),
+        *more,
     )
 
 
 def features_to_events(features: DataFrame) -> DataFrame:
     """Unified feature rows in the shape of events; the title serves as text."""
-    return features.select(
+    return features.select(*event_columns())
+
+
+def event_columns() -> list[Column | str]:
+    return [
         F.col("creator_id").alias("kol_id"),
         F.col("creator_name").alias("kol_name"),
         "platform",
@@ -238,11 +250,13 @@ def features_to_events(features: DataFrame) -> DataFrame:
         "activity_score",
         "is_suspicious",
         F.col("content_title").alias("text"),
-    )
+    ]
 
 
 def scores_from_events(events: DataFrame) -> DataFrame:
-    """Processed events in the shape of scored rows; events without a trust score are scored."""
+    """Processed events in the shape of scored rows, in one pass; events without a trust score are scored."""
+    if "trust_score" not in events.columns:
+        return score_events(events)
     has_score = optional(events, "trust_score").isNotNull()
     score = to_float(optional(events, "trust_score"))
 
@@ -259,7 +273,7 @@ def scores_from_events(events: DataFrame) -> DataFrame:
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
     stamp = first_nonblank(*[optional(events, name) for name in ("timestamp", "collected_at", "crawled_at")])
     label = first_nonblank(optional(events, "trust_label"), optional(events, "risk_profile"))
-    carried = events.where(has_score).select(
+    carried = F.struct(
         text("kol_id", "channel_id", "creator_id", "channel", default="unknown").alias("kol_id"),
         text("kol_name", "channel_name", "channel_title", "creator_name", default="Unknown KOL").alias("kol_name"),
         text("platform", "source", default="youtube").alias("platform"),
@@ -279,9 +293,10 @@ def scores_from_events(events: DataFrame) -> DataFrame:
         text("trust_source", "label_source", default="processed_dataset").alias("trust_source"),
         (number("is_suspicious", "suspicious_content_count") != 0.0).alias("is_suspicious"),
     )
-    if "trust_score" not in events.columns:
-        return score_events(events)
-    return carried.unionByName(score_events(events.where(~has_score)))
+    scored = _scored_rows(events.withColumn("_known", F.when(has_score, carried)), None, None, "_known")
+    known = F.col("_known").isNotNull()
+    names = [name for name in scored.columns if name != "_known"]
+    return scored.select(*[F.when(known, F.col(f"_known.{name}")).otherwise(F.col(name)).alias(name) for name in names])
 
 
 def scores_from_leaderboard(trust_scores: DataFrame) -> DataFrame:

@@ -2,34 +2,35 @@
 
 from __future__ import annotations
 
-# Counts are read as text, so that numbers and numeric strings both parse and the rest becomes 0.
+# Field and column names of the contracts. Raw counts may be JSON numbers or numeric
+# strings, so they are read as they are; the reader cuts off fractions of numbers.
 RAW_YOUTUBE_CHANNELS = (
     "platform string, channel_id string, channel_name string, seed_keyword string, category string, "
-    "subscriber_count string, video_count string, view_count string, collected_at string"
+    "subscriber_count variant, video_count variant, view_count variant, collected_at string"
 )
 RAW_YOUTUBE_SEEDS = (
-    "seed_keyword string, platform string, channel_id string, channel_name string, subscriber_count string, "
-    "video_count string, view_count string, channel_url string, collected_at string"
+    "seed_keyword string, platform string, channel_id string, channel_name string, subscriber_count variant, "
+    "video_count variant, view_count variant, channel_url string, collected_at string"
 )
 RAW_YOUTUBE_VIDEOS = (
     "platform string, channel_id string, channel_name string, video_id string, video_title string, "
-    "published_at string, view_count string, like_count string, comment_count string, subscriber_count string, "
-    "video_count string, collected_at string"
+    "published_at string, view_count variant, like_count variant, comment_count variant, subscriber_count variant, "
+    "video_count variant, collected_at string"
 )
 RAW_YOUTUBE_COMMENTS = (
     "platform string, channel_id string, video_id string, comment_id string, parent_comment_id string, "
     "is_reply boolean, comment_author_display_name string, comment_author_channel_id string, comment_text string, "
-    "comment_text_is_hashed boolean, comment_like_count string, comment_sentiment string, "
+    "comment_text_is_hashed boolean, comment_like_count variant, comment_sentiment string, "
     "comment_sentiment_score double, comment_sentiment_source string, comment_published_at string, collected_at string"
 )
 RAW_TIKTOK_CREATORS = (
     "platform string, creator_id string, creator_name string, username string, category string, "
-    "follower_count string, following_count string, content_count string, collected_at string"
+    "follower_count variant, following_count variant, content_count variant, collected_at string"
 )
 RAW_TIKTOK_VIDEOS = (
     "platform string, content_id string, creator_id string, creator_name string, username string, "
-    "content_title string, caption string, hashtags array<string>, publish_time string, view_count string, "
-    "like_count string, comment_count string, share_count string, collected_at string"
+    "content_title string, caption string, hashtags array<string>, publish_time string, view_count variant, "
+    "like_count variant, comment_count variant, share_count variant, collected_at string"
 )
 
 API_STATISTICS = (

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,27 +25,23 @@ def build_session(app_name: str = "veracast", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The reliable folder the cluster names in `spark.checkpoint.dir`.
-
-    Only a local master without that setting gets a folder of its own; on a cluster a
-    machine-local folder would not be visible to the other executors, so that is an error.
-    """
+    """The reliable folder the cluster names in `spark.checkpoint.dir`; where it names none, a folder
+    in the warehouse, which every executor reaches as well."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(named)
-        return named
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="veracast-")
-    context.setCheckpointDir(own)
-    return own
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(named)
+    return named
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder. What is written there goes when the session ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -27,9 +27,21 @@ def with_input_order(df: DataFrame, name: str = "seq") -> DataFrame:
     )
 
 
+def counts_as_text(rows: DataFrame) -> DataFrame:
+    """Variant columns as text: a JSON number loses its fraction, a string stays as it is."""
+    found = {}
+    for name, kind in rows.dtypes:
+        if kind == "variant":
+            value = F.col(name)
+            number = F.schema_of_variant(value) != "STRING"
+            whole = F.when(number, F.try_variant_get(value, "$", "bigint").cast("string"))
+            found[name] = F.coalesce(whole, F.try_variant_get(value, "$", "string"))
+    return rows.withColumns(found) if found else rows
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: str, ordered: bool = False, quarantine: bool = False) -> DataFrame:
     """JSON lines. A missing path is an empty table, blank lines are skipped and a bad line ends
-    the read; with `quarantine` bad lines are kept whole in `_corrupt_record`."""
+    the read; counts declared as variant become text of whole numbers; with `quarantine` bad lines are kept whole in `_corrupt_record`."""
     if quarantine:
         schema = f"{schema}, {CORRUPT} string"
     reader = spark.read.schema(schema)
@@ -43,16 +55,19 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, ordered: bool = Fals
     except AnalysisException as error:
         if not _is_missing(error):
             raise
-        empty = spark.createDataFrame([], schema)
+        empty = counts_as_text(spark.createDataFrame([], schema))
         return empty.withColumn("seq", F.lit(None).cast(ORDER_TYPE)) if ordered else empty
-    return with_input_order(rows) if ordered else rows
+    rows = with_input_order(rows) if ordered else rows
+    return counts_as_text(rows)
 
 
 def read_csv(spark: SparkSession, path: str, limit: int | None = None, schema: str | None = None) -> DataFrame:
-    """CSV with a header; a byte-order mark is dropped and empty fields are NULL."""
+    """CSV with a header; a byte-order mark is dropped and empty fields are NULL. Quoted fields may
+    hold line breaks, so a file is read as a whole and does not split. `limit` takes the first rows
+    in input order."""
     reader = (
         spark.read.option("header", True).option("nullValue", "").option("encoding", "UTF-8")
-        .option("multiLine", False).option("escape", '"')
+        .option("multiLine", True).option("escape", '"')
     )
     try:
         rows = (reader.schema(schema) if schema else reader).csv(path)
@@ -60,8 +75,10 @@ def read_csv(spark: SparkSession, path: str, limit: int | None = None, schema: s
         if not _is_missing(error):
             raise
         return spark.createDataFrame([], schema or StructType())
-    rows = rows.toDF(*[name.lstrip("\ufeff") for name in rows.columns])
-    return rows if limit is None else rows.limit(max(0, limit))
+    names = [name.lstrip("\ufeff") for name in rows.columns]
+    if limit is not None:
+        rows = with_input_order(rows, "_order").orderBy("_order").limit(max(0, limit)).drop("_order")
+    return rows.toDF(*names)
 
 
 def read_json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
