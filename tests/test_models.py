@@ -1,12 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from veracast.ml import sentiment, trust
+from veracast.ml import sentiment, store, trust
 from veracast.plans import scoring
 from veracast.schemas import TRUST_NUMERIC_FEATURES
 
 
-def test_sentiment_model(spark):
+def test_sentiment_model(spark, tmp_path):
     rows = [("tuyệt vời good clip", "2"), ("good great", "pos"), ("awful bad", "neg"), ("bad scam", "0"), ("it is a clip", "1"), ("a plain clip", "neu")]
     table = spark.createDataFrame([(t, l, False) for t, l in rows * 3] + [("f" * 64, "pos", True)], "comment string, sentiment string, comment_text_is_hashed boolean")
     labelled = sentiment.labelled_texts(table)
@@ -19,6 +19,23 @@ def test_sentiment_model(spark):
     assert {row["class"] for row in report} == {"negative", "neutral", "positive"} and all(row["recall"] == 1.0 for row in report)
     with pytest.raises(ValueError):
         sentiment.train_sentiment(labelled.limit(3))
+    summary = sentiment.report_summary(sentiment.predict_labels(labelled, model)).first()
+    assert (summary["accuracy"], summary["macro_f1"], summary["weighted_recall"], summary["support"]) == (1.0, 1.0, 1.0, 18)
+    # Saved and loaded again, the model gives the same scores.
+    folder = str(tmp_path / "sentiment")
+    store.save_model(model, folder, "sentiment", "random", sentiment.classification_report(sentiment.predict_labels(labelled, model)))
+    loaded, notes = store.load_model(spark, folder)
+    again = {row["comment"]: row["pred_sentiment_score"] for row in sentiment.predict_sentiment(table, model=loaded).collect()}
+    assert again == {text: row["pred_sentiment_score"] for text, row in scored.items()}
+    assert notes["kind"] == "sentiment" and notes["notice"] == store.NOTICE and len(notes["metrics"]) == 3
+
+
+def test_creators_stay_in_one_split(spark):
+    rows = spark.range(400).select(F.lit("youtube").alias("platform"), (F.col("id") % 40).cast("string").alias("creator_id"),
+                                   F.lit("good").alias("comment"), F.lit("pos").alias("sentiment"))
+    train, test = sentiment.creator_split(sentiment.labelled_texts(rows))
+    sides = [{row["creator_id"] for row in part.collect()} for part in (train, test)]
+    assert sides[0] and sides[1] and not sides[0] & sides[1]
 
 
 def test_trust_model(spark):

@@ -68,8 +68,34 @@ def test_recent_events_over_batches(spark, tmp_path):
     recent.keep_recent(path)(feed.where(F.col("event_id").between(400, 599)), 2)
     expected = sorted(map(str, live.live_window_stats(feed).collect()))
     assert sorted(map(str, recent.read_recent_stats(spark, path).collect())) == expected
-    recent.compact_recent(spark, path, str(tmp_path / "folded"))
-    assert sorted(map(str, recent.read_recent_stats(spark, str(tmp_path / "folded")).collect())) == expected
+    # Folding leaves one batch and the same figures, also with a fold that ended before it cleared up.
+    recent.fold_recent(spark, path, 3)
+    assert [row["batch_id"] for row in spark.read.parquet(path).select("batch_id").distinct().collect()] == [2]
+    assert sorted(map(str, recent.read_recent_stats(spark, path).collect())) == expected
+    recent.keep_recent(path)(feed.where(F.col("event_id").between(0, 199)), 0)
+    assert sorted(map(str, recent.read_recent_stats(spark, path).collect())) == expected
+
+
+def test_many_batches_stay_few_files(spark, tmp_path):
+    """Twelve batches over the same keys, one of them run again, folded every fourth."""
+    folder = {}
+    for name, fold_every in (("folded", 4), ("plain", 1000)):
+        paths = sinks.LakePaths(*[str(tmp_path / f"{name}-{part}") for part in ("raw", "processed", "serving", "keyed")])
+        write = sinks.write_batch(paths, fold_every)
+        for number in range(12):
+            day = 1 + number % 2
+            rows = [{"kol_id": f"k{k}", "timestamp": f"2024-01-0{day}T00:00:00", "views": 10 * number + k} for k in range(5)]
+            batch = score_stream(records(spark, rows, start=100 * number)).cache()
+            for _ in range(2 if number == 8 else 1):
+                write(batch, number)
+        folder[name] = paths.keyed
+    views = {
+        name: sorted((r["kol_id"], str(r["event_ts"]), r["views"]) for r in sinks.read_keyed(spark, path).collect()) for name, path in folder.items()
+    }
+    assert views["folded"] == views["plain"] and len(views["plain"]) == 10
+    parts = spark.read.parquet(folder["folded"]).select("event_date", "batch_id").distinct().collect()
+    assert len(parts) <= 6 and {row["batch_id"] for row in parts} == {7, 8, 9, 10, 11}
+    assert len(list((tmp_path / "folded-keyed").rglob("part-*.parquet"))) <= 6
 
 
 def test_windowed_stream(spark, tmp_path):

@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import clamp, half_up
 from ..functions.sentiment import unit_label, with_unit_sentiment
+from ..operators.gold import split_rows
 from ..session import balanced, cut_lineage
 
 # What a class is worth, and other spellings of the classes.
 LABEL_TO_SCORE = {"negative": 0.15, "neutral": 0.50, "positive": 0.85}
 LABEL_ALIASES = {"0": "negative", "1": "neutral", "2": "positive", "neg": "negative", "neu": "neutral", "pos": "positive"}
 
+MEASURES = ("precision", "recall", "f1")
 MIN_ROWS = 6
 MAX_ITERATIONS = 1000
 TOLERANCE = 1e-4
@@ -62,7 +64,9 @@ def labelled_texts(rows: DataFrame, text: str = "comment", label: str = "sentime
     if "comment_text_is_hashed" in rows.columns:
         rows = rows.where(~F.coalesce(F.col("comment_text_is_hashed"), F.lit(False)))
     named = normalize_label(F.col(label))
+    kept = [name for name in ("platform", "creator_id") if name in rows.columns]
     return rows.where(F.trim(F.coalesce(F.col(text), F.lit(""))) != "").select(
+        *kept,
         F.col(text).alias("text"),
         F.when(named.isNull(), F.raise_error(F.concat(F.lit("unsupported label: "), F.col(label).cast("string"))))
         .otherwise(named)
@@ -70,6 +74,13 @@ def labelled_texts(rows: DataFrame, text: str = "comment", label: str = "sentime
     )
 
 
+def creator_split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Train and eval rows by their creator's split, so that no creator is in both. The rows need
+    `platform` and `creator_id`."""
+    parts = split_rows(rows)
+    return parts["train"], parts["eval"]
+
+
 def stratified_split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """75/25 by a hash of the text, which draws the same share from every class."""
     part = F.pmod(F.xxhash64("text", F.lit(SEED)), F.lit(100))
@@ -150,8 +161,8 @@ def predict_labels(df: DataFrame, model: PipelineModel, text: str = "text") -> D
     return scored.select(*df.columns, names[F.col("prediction").cast("int")].alias("predicted"))
 
 
-def classification_report(df: DataFrame, actual: str = "label_name", predicted: str = "predicted") -> DataFrame:
-    """Precision, recall, F1 and support per class, from the confusion counts."""
+def _class_totals(df: DataFrame, actual: str, predicted: str) -> DataFrame:
+    """Support, claims, hits, precision, recall and F1 of each class, from the confusion counts."""
     pairs = df.groupBy(F.col(actual).alias("actual"), F.col(predicted).alias("predicted")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -172,10 +183,22 @@ def classification_report(df: DataFrame, actual: str = "label_name", predicted:
     precision = F.coalesce(F.try_divide("hits", "claimed"), F.lit(0.0))
     recall = F.coalesce(F.try_divide("hits", "support"), F.lit(0.0))
     f1 = F.coalesce(F.try_divide(precision * recall * F.lit(2.0), precision + recall), F.lit(0.0))
-    return totals.where(F.col("class").isNotNull()).select(
-        "class",
-        half_up(precision, 4).alias("precision"),
-        half_up(recall, 4).alias("recall"),
-        half_up(f1, 4).alias("f1"),
-        "support",
+    return totals.where(F.col("class").isNotNull()).withColumns({"precision": precision, "recall": recall, "f1": f1})
+
+
+def classification_report(df: DataFrame, actual: str = "label_name", predicted: str = "predicted") -> DataFrame:
+    """Precision, recall, F1 and support per class."""
+    measures = [half_up(F.col(name), 4).alias(name) for name in MEASURES]
+    return _class_totals(df, actual, predicted).select("class", *measures, "support")
+
+
+def report_summary(df: DataFrame, actual: str = "label_name", predicted: str = "predicted") -> DataFrame:
+    """The closing rows of the report as one: accuracy, and the means over the classes, plain and by support."""
+    support = F.sum("support")
+    by_support = [F.try_divide(F.sum(F.col(name) * F.col("support")), support) for name in MEASURES]
+    return _class_totals(df, actual, predicted).agg(
+        half_up(F.try_divide(F.sum("hits"), support), 4).alias("accuracy"),
+        *[half_up(F.avg(name), 4).alias(f"macro_{name}") for name in MEASURES],
+        *[half_up(mean, 4).alias(f"weighted_{name}") for name, mean in zip(MEASURES, by_support)],
+        support.alias("support"),
     )

@@ -17,7 +17,7 @@ from ..ml import sentiment as sentiment_ml
 from ..ml import trust as trust_ml
 from ..operators import api_items, bronze, dashboard, gold, keyed, live, quality, silver, stats
 from ..session import scratch_path
-from ..sources import given, topic
+from ..sources import given, readers, topic
 from ..streaming import recent, sinks
 from ..streaming.scoring import score_stream
 from . import api, scoring
@@ -634,6 +634,48 @@ def identity_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return given.table(spark, sf_dir, "customer").select(key.alias("kol_id"), identity_profile(key).alias("p")).select("kol_id", "p.*")
 
 
+# --- sources and API items ------------------------------------------------------------------
+
+
+@query
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents, line breaks and all, written as CSV and read back."""
+    path = f"{scratch_path(spark, 'csv')}"
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    given.table(spark, sf_dir, "documents").select(F.col("doc_id"), "lang", "text").write.options(**options).csv(path)
+    rows = readers.read_csv(spark, path)
+    return rows.select(safe_int(F.col("doc_id")).alias("doc_id"), "lang", F.length("text").alias("letters"), F.md5("text").alias("digest"))
+
+
+@query
+def json_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Video rows written as JSON lines with counts as numbers with fractions or as texts, and read back."""
+    path = f"{scratch_path(spark, 'jsonl')}"
+    price = F.col("o_totalprice")
+    given.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("video_id"),
+        price.alias("view_count"),
+        F.floor(price).cast("string").alias("like_count"),
+        price.cast("string").alias("comment_count"),
+        F.lit(given.COLLECTED_AT).alias("collected_at"),
+    ).write.json(path)
+    rows = readers.read_jsonl(spark, path, schemas.RAW_YOUTUBE_VIDEOS, ordered=True)
+    return rows.select("video_id", *[safe_int(F.col(name)).alias(name) for name in ("view_count", "like_count", "comment_count")])
+
+
+@query
+def api_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return api_items.normalize_channels(given.channel_items(spark, sf_dir))
+
+
+@query
+def api_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as video items; channels of one market segment are listed twice, the later row counts."""
+    channels = api_items.normalize_channels(given.channel_items(spark, sf_dir))
+    rows = api_items.normalize_videos(given.video_items(spark, sf_dir), channels)
+    return rows.select("video_id", "channel_id", "channel_name", "view_count", "subscriber_count", "video_count", "trust_score", "is_suspicious")
+
+
 # --- quality and statistics ---------------------------------------------------------------
 
 
@@ -743,11 +785,19 @@ def predict_sentiment_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def manual_label_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentiment_ml.classification_report(_manual_pairs(spark, sf_dir), "human", "predicted")
+
+
+def _manual_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Human labels against the rule sentiment of the same documents."""
     sentiment = silver.content_sentiment(given.youtube_comments(spark, sf_dir))
     human = given.table(spark, sf_dir, "labels").select(
         F.concat(F.lit("v"), F.col("doc_id").cast("string")).alias("video_id"),
         F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").otherwise("neutral").alias("human"),
     )
-    pairs = human.join(sentiment.select("video_id", F.col("sentiment_label").alias("predicted")), "video_id")
-    return sentiment_ml.classification_report(pairs, "human", "predicted")
+    return human.join(sentiment.select("video_id", F.col("sentiment_label").alias("predicted")), "video_id")
+
+
+@query
+def manual_label_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentiment_ml.report_summary(_manual_pairs(spark, sf_dir), "human", "predicted")

@@ -825,6 +825,36 @@ QUERIES: dict[str, str] = {
         SELECT doc_id, line, CASE WHEN s >= 0.65e0 THEN 'positive' WHEN s <= 0.35e0 THEN 'negative' ELSE 'neutral' END AS pred_sentiment_label,
                {half_up('s', 6)} AS pred_sentiment_score, 'rule_fallback' AS pred_sentiment_source
         FROM (SELECT doc_id, line, {unit_sentiment('text')} AS s FROM lines)""",
+    "csv_round_trip": "SELECT doc_id, lang, length(text)::INTEGER AS letters, md5(text) AS digest FROM documents",
+    "json_counts": """
+        SELECT o_orderkey::VARCHAR AS video_id, trunc(o_totalprice)::BIGINT AS view_count, floor(o_totalprice)::BIGINT AS like_count,
+               0::BIGINT AS comment_count
+        FROM orders""",
+    "api_channels": """
+        SELECT 'youtube' AS platform, 'UC' || c_custkey AS channel_id, c_name || ' ' || crawl AS channel_name,
+               floor(abs(c_acctbal))::BIGINT + crawl AS subscriber_count, c_custkey % 500 AS video_count,
+               c_custkey * 1000 AS view_count, '2024-01-0' || crawl AS collected_at
+        FROM customer, (VALUES (1), (2)) v(crawl) WHERE crawl = 1 OR c_mktsegment = 'BUILDING'""",
+    "api_videos": f"""
+        SELECT 'v' || o_orderkey AS video_id, 'UC' || o_custkey AS channel_id, c_name || ' ' || crawl AS channel_name, views AS view_count,
+               coalesce(floor(abs(c_acctbal))::BIGINT + crawl, 0) AS subscriber_count, coalesce(c_custkey % 500, 0) AS video_count,
+               {rule_trust('engagement', '50e0', "least(comments / 1000e0 * 100e0, 100e0)")} AS trust_score,
+               CASE WHEN engagement > 0.30e0 OR (views > 100000 AND comments < 5) THEN 1 ELSE 0 END AS is_suspicious
+        FROM (SELECT *, {half_up('(o_custkey % 1000 + comments) / greatest(views, 1)::DOUBLE', 6)} AS engagement
+              FROM (SELECT o.*, c.*, floor(o_totalprice)::BIGINT AS views, o_orderkey % 9 AS comments,
+                           CASE WHEN c_mktsegment = 'BUILDING' THEN 2 ELSE 1 END AS crawl
+                    FROM orders o LEFT JOIN customer c ON c_custkey = o_custkey))""",
+    "manual_label_summary": f"""
+        SELECT {half_up('sum(hits) / sum(support)::DOUBLE', 4)} AS accuracy,
+               {half_up('avg(p)', 4)} AS macro_precision, {half_up('avg(r)', 4)} AS macro_recall, {half_up('avg(f)', 4)} AS macro_f1,
+               {half_up('sum(p * support) / sum(support)', 4)} AS weighted_precision, {half_up('sum(r * support) / sum(support)', 4)} AS weighted_recall,
+               {half_up('sum(f * support) / sum(support)', 4)} AS weighted_f1, sum(support)::BIGINT AS support
+        FROM (SELECT *, coalesce(p * r * 2e0 / nullif(p + r, 0e0), 0e0) AS f
+              FROM (SELECT class, hits, support, coalesce(hits / nullif(claimed, 0)::DOUBLE, 0e0) AS p, coalesce(hits / nullif(support, 0)::DOUBLE, 0e0) AS r
+                    FROM (SELECT class, (SELECT count(*) FROM pairs WHERE human = class) AS support,
+                                 (SELECT count(*) FROM pairs WHERE predicted = class) AS claimed,
+                                 (SELECT count(*) FROM pairs WHERE human = class AND predicted = class) AS hits
+                          FROM (SELECT human AS class FROM pairs UNION SELECT predicted FROM pairs))))""",
     "manual_label_eval": _report("human", "predicted", "pairs"),
 }
 

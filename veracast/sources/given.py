@@ -253,6 +253,36 @@ def comment_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def channel_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as channel items of the API; those of one segment were fetched twice."""
+    twice = F.when(F.col("c_mktsegment") == "BUILDING", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    rows = table(spark, sf_dir, "customer").withColumn("crawl", F.explode(twice))
+    none = F.lit(None).cast("string")
+    return rows.select(
+        _prefixed("UC", F.col("c_custkey")).alias("id"),
+        F.struct(F.concat_ws(" ", F.col("c_name"), _text(F.col("crawl"))).alias("title"), none.alias("channelId"), none.alias("channelTitle"), none.alias("publishedAt")).alias("snippet"),
+        F.struct(
+            _text(F.col("c_custkey") * 1000).alias("viewCount"), none.alias("likeCount"), none.alias("commentCount"),
+            _text(F.floor(F.abs("c_acctbal")) + F.col("crawl")).alias("subscriberCount"), _text(F.col("c_custkey") % 500).alias("videoCount"),
+        ).alias("statistics"),
+        F.concat(F.lit("2024-01-0"), _text(F.col("crawl"))).alias("collected_at"),
+    )
+
+
+def video_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as video items of the API, without the channel's title."""
+    none = F.lit(None).cast("string")
+    return table(spark, sf_dir, "orders").select(
+        _prefixed("v", F.col("o_orderkey")).alias("id"),
+        F.struct(F.col("o_orderpriority").alias("title"), _prefixed("UC", F.col("o_custkey")).alias("channelId"), F.lit("").alias("channelTitle"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("publishedAt")).alias("snippet"),
+        F.struct(
+            _text(F.floor("o_totalprice")).alias("viewCount"), _text(F.col("o_custkey") % 1000).alias("likeCount"), _text(F.col("o_orderkey") % 9).alias("commentCount"),
+            none.alias("subscriberCount"), none.alias("videoCount"),
+        ).alias("statistics"),
+        F.lit(COLLECTED_AT).alias("collected_at"),
+    )
+
+
 class RawTables(Mapping):
     """The raw inputs by name, each planned when first asked for."""
 

@@ -1,8 +1,8 @@
 """Rolling activity per creator over an unbounded feed.
 
 The exact form keeps, per micro-batch, the newest events of each creator that the batch brought
-and folds the batches when reading. Batches stay small, nothing stored is rewritten, and a hot
-creator never meets in one task. The windowed form is a plain watermarked aggregate.
+and folds the batches when reading. From time to time the closed batches become one, so the stored
+rows stay in proportion to the creators. A hot creator never meets in one task. The windowed form is a plain watermarked aggregate.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.keyed import last_n
 from ..operators.live import FEATURE_EVENTS, window_counts
+from .sinks import FOLD_EVERY, replace_closed
 
 ORDER = ("timestamp", "event_id")
 
@@ -19,10 +20,13 @@ def _newest(events: DataFrame) -> DataFrame:
     return last_n(events, ["kol_id"], [F.desc(name) for name in ORDER], FEATURE_EVENTS)
 
 
-def keep_recent(path: str):
-    """`foreachBatch` function that stores the batch's newest events per creator."""
+def keep_recent(path: str, fold_every: int = FOLD_EVERY):
+    """`foreachBatch` function that stores the batch's newest events per creator and, before every
+    `fold_every`-th batch, folds the closed ones."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
+        if batch_id and batch_id % fold_every == 0:
+            fold_recent(batch_df.sparkSession, path, batch_id)
         rows = _newest(batch_df).drop("recency").withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         (
             rows.write.mode("overwrite")
@@ -35,14 +39,21 @@ def keep_recent(path: str):
 
 
 def read_recent_stats(spark: SparkSession, path: str) -> DataFrame:
-    """Counts over the newest events of each creator across all batches."""
-    return window_counts(_newest(spark.read.parquet(path).drop("batch_id")))
+    """Counts over the newest events of each creator across all batches. A fold that ended half-way
+    leaves events twice, with one id."""
+    return window_counts(_newest(_once(spark.read.parquet(path))))
 
 
-def compact_recent(spark: SparkSession, path: str, target: str) -> None:
-    """Fold all batches into a new table with one batch, to which a restarted stream can go on."""
-    folded = _newest(spark.read.parquet(path).drop("batch_id")).drop("recency")
-    folded.withColumn("batch_id", F.lit(-1).cast("bigint")).write.partitionBy("batch_id").parquet(target)
+def _once(rows: DataFrame) -> DataFrame:
+    return rows.drop("batch_id").dropDuplicates(["kol_id", "event_id"])
+
+
+def fold_recent(spark: SparkSession, path: str, before: int) -> None:
+    """One batch in place of all batches lower than `before`."""
+    rows = spark.read.parquet(path).where(F.col("batch_id") < before)
+    closed = rows.select("batch_id").distinct()
+    folded = _newest(_once(rows)).drop("recency").withColumn("batch_id", F.lit(before - 1).cast("bigint"))
+    replace_closed(folded, path, ["batch_id"], closed.where(F.col("batch_id") < before - 1))
 
 
 def windowed_activity(events: DataFrame, window: str = "10 minutes", late: str = "10 minutes") -> DataFrame:

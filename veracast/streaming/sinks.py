@@ -1,5 +1,7 @@
 """Micro-batch sinks. Every batch owns the partitions (event_date, batch_id) it writes, so that a
-batch that runs again replaces its own output instead of adding to it."""
+batch that runs again replaces its own output instead of adding to it. The keyed table is folded from time
+to time: closed batches become one, so that neither its files nor the cost of a read grow with the
+number of batches."""
 
 from __future__ import annotations
 
@@ -11,6 +13,10 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..schemas import RAW_LAKE_COLUMNS, SERVING_COLUMNS
 
 
+#: Batches between two folds of the keyed table.
+FOLD_EVERY = 50
+
+
 @dataclass(frozen=True)
 class LakePaths:
     raw: str
@@ -20,8 +26,9 @@ class LakePaths:
 
 
 def _replace_batch(rows: DataFrame, path: str, fmt: str) -> None:
+    # Rows of a date meet in a few tasks, as many as their volume asks for, and make as many files.
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", "event_date").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date", "batch_id")
         .format(fmt)
@@ -71,12 +78,44 @@ def read_keyed(spark: SparkSession, path: str, since: str | None = None) -> Data
     return latest_by_key(rows).select(*SERVING_COLUMNS)
 
 
-def write_batch(paths: LakePaths):
-    """The `foreachBatch` function: four writes of one cached batch; empty batches write nothing."""
+def replace_closed(folded: DataFrame, path: str, keys: list[str], closed: DataFrame) -> None:
+    """Write `folded` rows into the partitions they name and remove the `closed` partitions (one row of
+    partition values each). The rows are stored beside the table first. If the job ends in between,
+    old and folded rows are both there, which readers resolve, and the next fold goes on."""
+    spark = folded.sparkSession
+    folded.write.mode("overwrite").parquet(f"{path}_folding")
+    rows = spark.read.schema(folded.schema).parquet(f"{path}_folding")
+    doomed = closed.collect()  # partition names, a bounded number of batches for each date
+    rows.hint("rebalance", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for row in doomed:
+        files.delete(hadoop("/".join([path, *(f"{key}={row[key]}" for key in keys)])), True)
+    files.delete(hadoop(f"{path}_folding"), True)
+
+
+def fold_keyed(spark: SparkSession, path: str, before: int) -> None:
+    """One batch in place of all batches lower than `before`, for the dates that more than one of them
+    wrote. Only closed batches take part: a batch that may still run again has a higher number."""
+    rows = spark.read.parquet(path).where(F.col("batch_id") < before)
+    parts = rows.select("event_date", "batch_id").distinct()
+    dates = parts.groupBy("event_date").agg(F.count(F.lit(1)).alias("batches")).where("batches > 1").select("event_date")
+    if dates.isEmpty():
+        return
+    folded = latest_by_key(rows.join(F.broadcast(dates), "event_date", "left_semi")).withColumn("batch_id", F.lit(before - 1).cast("bigint"))
+    closed = parts.where(F.col("batch_id") < before - 1).join(F.broadcast(dates), "event_date", "left_semi")
+    replace_closed(folded, path, ["event_date", "batch_id"], closed)
+
+
+def write_batch(paths: LakePaths, fold_every: int = FOLD_EVERY):
+    """The `foreachBatch` function: four writes of one cached batch; empty batches write nothing.
+    Before every `fold_every`-th batch the closed batches of the keyed table are folded."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
             return
+        if paths.keyed and batch_id and batch_id % fold_every == 0:
+            fold_keyed(batch_df.sparkSession, paths.keyed, batch_id)
         batch = batch_df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).persist()
         try:
             raw_lake_sink(batch, paths.raw)
@@ -90,9 +129,9 @@ def write_batch(paths: LakePaths):
     return write
 
 
-def start_scoring(scored: DataFrame, paths: LakePaths, checkpoint: str, available_now: bool = False):
+def start_scoring(scored: DataFrame, paths: LakePaths, checkpoint: str, available_now: bool = False, fold_every: int = FOLD_EVERY):
     writer: DataStreamWriter = (
-        scored.writeStream.foreachBatch(write_batch(paths))
+        scored.writeStream.foreachBatch(write_batch(paths, fold_every))
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
