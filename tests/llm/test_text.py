@@ -71,7 +71,7 @@ def test_toxicity_on_held_out_rows(spark):
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
     scored = queries.op10_toxicity(spark, folder)
     judged = scored.join(labels, "doc_id").filter("held_out").agg(
-        F.count_if("predicted = 1 AND toxic = 1").alias("hit"), F.count_if("predicted = 1").alias("said"), F.count_if("toxic = 1").alias("toxic")
+        *[F.count_if(F.expr(rule)).alias(name) for name, rule in (("hit", "predicted = 1 AND toxic = 1"), ("said", "predicted = 1"), ("toxic", "toxic = 1"))]
     ).first()
     assert judged.hit / judged.toxic > 0.85 and judged.hit / judged.said > 0.9
     rows = scored.collect()

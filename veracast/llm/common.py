@@ -62,18 +62,27 @@ def _id_key(name: str) -> Column:
     return F.coalesce(F.col(name).cast("long").cast("string"), F.lit("")).alias("__id_key")
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """Each row whole, as one column whose fields cannot clash with others, and its id key."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), _id_key("doc_id"))
+
+
 def keep_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The documents whose doc_id is in `kept`, one row for each id, with their own columns only."""
     # The same key partitions the join and the removal of repeated ids: the texts move once.
-    found = docs.select("*", _id_key("doc_id")).join(kept.select(_id_key("doc_id")).distinct(), "__id_key", "left_semi")
-    return found.dropDuplicates(["__id_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = _rows(docs).join(kept.select(_id_key("doc_id")).distinct(), "__id_key", "left_semi")
+    return found.dropDuplicates(["__id_key"]).select("document.*")
 
 
 def drop_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """The documents whose doc_id is not in `gone`, with their own columns only."""
-    left = docs.select("*", _id_key("doc_id")).join(gone.select(_id_key("doc_id")).distinct(), "__id_key", "left_anti")
-    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _rows(docs).join(gone.select(_id_key("doc_id")).distinct(), "__id_key", "left_anti").select("document.*")
 
 
 def text_list(column: pa.Array | pa.ChunkedArray) -> list[str]:
     return column.to_pylist()
+
+
+def byte_list(column: pa.Array) -> list[bytes]:
+    """The texts as UTF-8 bytes, without a way through str."""
+    return column.cast(pa.binary()).to_pylist()

@@ -169,7 +169,8 @@ class Scorer:
             at = np.minimum(np.searchsorted(self.model.features, feature), max(len(self.model.features) - 1, 0))
             weight = np.where(self.model.features[at] == feature, self.model.weights[at], 0.0) if len(feature) else np.empty(0)
             total = self.model.bias + np.bincount((pairs >> np.uint64(32)).astype(np.int64), weight, len(words))
-            out[start : start + len(words)] = 1 / (1 + np.exp(-np.clip(total, -700, 700)))
+            with np.errstate(over="ignore"):  # a score beyond the range of exp is 0
+                out[start : start + len(words)] = 1 / (1 + np.exp(-total))
         return out
 
 
