@@ -27,13 +27,8 @@ def build_session(app_name: str = "veracast", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """The reliable folder the cluster names in `spark.checkpoint.dir`; where it names none, a folder
     in the warehouse, which every executor reaches as well."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not named:
-        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(named)
-    return named
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -45,9 +40,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the shared folder, so that losing an executor does not lose it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Store `df` as Parquet in the shared folder, so that losing an executor does not lose it. Later
+    reads take only the columns they need."""
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def balanced(df: DataFrame) -> DataFrame:
