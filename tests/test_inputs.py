@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from veracast import schemas
 from veracast.functions.numeric import safe_int
 from veracast.operators import api_items, dashboard
+from veracast.plans import api
 from veracast.sources import readers
 
 
@@ -53,3 +54,21 @@ def test_repeated_channels_do_not_multiply_videos(spark):
     )
     rows = api_items.normalize_videos(items, channels).collect()
     assert [(r["video_id"], r["channel_name"], r["subscriber_count"]) for r in rows] == [("v1", "new", 5)]
+
+
+def test_scores_fall_back(spark):
+    schema = ", ".join(f"{name} {kind}" for name, kind in {
+        "kol_id": "string", "event_ts": "timestamp", "kol_name": "string", "platform": "string", "video_id": "string", "views": "long", "likes": "long",
+        "comments": "long", "shares": "long", "followers": "long", "engagement_rate": "double", "sentiment_score": "double", "activity_score": "double",
+        "anomaly_score": "double", "trust_score": "double", "is_suspicious": "boolean"}.items())
+    none = spark.createDataFrame([], schema)
+    leaders = spark.createDataFrame(
+        [("a", "A", "youtube", 9, 5, 0.1, 50.0, 1.0, 71.0, "rule", 0, "2024-01-01T00:00:00Z")],
+        "creator_id string, creator_name string, platform string, follower_count long, total_views long, avg_engagement_rate double, avg_sentiment_score double, "
+        "avg_activity_score double, trust_score double, label_source string, suspicious_content_count long, collected_at string",
+    )
+    events = spark.createDataFrame([("b", 10, 55.0, "2024-01-01T00:00:00Z")], "channel_id string, views long, trust_score double, collected_at string")
+    first = api.available_scores(none, leaders, events)
+    assert [(r["kol_id"], r["trust_score"]) for r in api.latest_scores(first).collect()] == [("a", 71.0)]
+    last = api.available_scores(none, leaders.limit(0), events)
+    assert [(r["kol_id"], r["verified"]) for r in api.creator_directory(last).collect()] == [("b", False)]

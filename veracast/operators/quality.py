@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 @dataclass(frozen=True)
@@ -167,15 +167,30 @@ def json_events_report(lines: DataFrame, name: str = "serving_events", value: st
     )
 
 
+def missing_report(spark: SparkSession, name: str) -> DataFrame:
+    """The report row of a table that is not there."""
+    return spark.range(1).select(
+        F.lit(name).alias("table_name"),
+        F.lit("").alias("column_name"),
+        F.lit("exists").alias("rule"),
+        F.lit(False).alias("present"),
+        *[F.lit(0).cast("bigint").alias(name) for name in ("null_rows", "type_rows", "broken_rows", "row_count")],
+        F.lit("missing").alias("status"),
+    )
+
+
 def quality_report(*reports: DataFrame) -> DataFrame:
-    """Status, rows and failed rules per table; `missing` tables are simply not handed in."""
+    """Status, rows and failed rules per table; a table that is not there is `missing`."""
     rows = reports[0]
     for report in reports[1:]:
         rows = rows.unionByName(report)
     return rows.groupBy("table_name").agg(
         F.max("row_count").alias("row_count"),
         F.count_if(F.col("status") != "ok").alias("failed_rules"),
-        F.when(F.count_if(F.col("status") != "ok") == 0, "ok").otherwise("failed").alias("status"),
+        F.when(F.count_if(F.col("status") == "missing") > 0, "missing")
+        .when(F.count_if(F.col("status") != "ok") == 0, "ok")
+        .otherwise("failed")
+        .alias("status"),
     )
 
 

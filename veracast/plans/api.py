@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import half_up
 from ..functions.score import falsy_to, risk_profile, trust_label
-from ..operators.keyed import last_n, latest_per_key
-from .scoring import event_columns, features_to_events, score_events
+from ..functions.timeparse import parse_timestamp
+from ..operators.keyed import first_non_empty, last_n, latest_per_key
+from ..schemas import SERVING_COLUMNS
+from .scoring import event_columns, features_to_events, score_events, scores_from_events, scores_from_leaderboard
 
 
 def _labelled(scores: DataFrame) -> DataFrame:
@@ -37,6 +39,17 @@ def top_creators(scores: DataFrame, limit: int = 10) -> DataFrame:
     return latest_scores(scores, limit)
 
 
+def available_scores(scores: DataFrame, leaderboard: DataFrame, events: DataFrame) -> DataFrame:
+    """The first source that has rows: the scored store, else the leaderboard, else processed events.
+    All read queries of this module take the result."""
+    names = [name for name in SERVING_COLUMNS if name != "processed_at"]
+
+    def served(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("event_ts", parse_timestamp(F.col("timestamp"))).select(*names)
+
+    return first_non_empty(scores.select(*names), served(scores_from_leaderboard(leaderboard)), served(scores_from_events(events)))
+
+
 def creator_directory(scores: DataFrame) -> DataFrame:
     """All creators with reputation and risk; `directory_by_reputation` sorts them."""
     return latest_per_creator(scores).select(*_directory_columns())

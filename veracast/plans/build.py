@@ -147,18 +147,17 @@ def build_dataset(spark: SparkSession, raw: Mapping[str, DataFrame], out: str, a
 
 
 def validate_dataset(spark: SparkSession, out: str) -> DataFrame:
-    """The quality gate over a built dataset; always gives a report."""
+    """The quality gate over a built dataset; always gives a report, also of tables that are not there."""
     out = out.rstrip("/")
-    reports = [
-        quality.check_schema(
-            spark.read.parquet(f"{out}/silver/unified/features"), quality.INFLUENCER_RULES, "influencer_features"
-        ),
-        quality.check_schema(
-            spark.read.parquet(f"{out}/silver/comments/sentiment"), quality.COMMENT_RULES, "comments_sentiment"
-        ),
-        quality.check_schema(
-            spark.read.parquet(f"{out}/gold/features/trust_scores"), quality.TRUST_SCORE_RULES, "trust_scores"
-        ),
-        quality.json_events_report(spark.read.text(f"{out}/serving/events")),
+    checked = [
+        ("silver/unified/features", quality.INFLUENCER_RULES, "influencer_features"),
+        ("silver/comments/sentiment", quality.COMMENT_RULES, "comments_sentiment"),
+        ("gold/features/trust_scores", quality.TRUST_SCORE_RULES, "trust_scores"),
     ]
+    reports = []
+    for relative, rules, name in checked:
+        table = readers.if_there(lambda: spark.read.parquet(f"{out}/{relative}"))
+        reports.append(quality.missing_report(spark, name) if table is None else quality.check_schema(table, rules, name))
+    lines = readers.if_there(lambda: spark.read.text(f"{out}/serving/events"))
+    reports.append(quality.missing_report(spark, "serving_events") if lines is None else quality.json_events_report(lines))
     return quality.quality_report(*reports)

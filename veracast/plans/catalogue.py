@@ -152,6 +152,27 @@ def split_leakage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.split_leakage(gold.with_split(_tables(spark, sf_dir).content))
 
 
+@query
+def split_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored split folders read back one by one: creators of each two splits, and of both."""
+    path = scratch_path(spark, "splits")
+    gold.with_split(_tables(spark, sf_dir).content).write.partitionBy("split").parquet(path)
+    names = ("train", "eval", "analysis_profile")
+    creators = {name: spark.read.parquet(f"{path}/split={name}").select("platform", "creator_id").distinct() for name in names}
+    rows = []
+    for left, right in (("train", "eval"), ("train", "analysis_profile"), ("eval", "analysis_profile")):
+        both = creators[left].withColumn("side", F.lit(1)).unionByName(creators[right].withColumn("side", F.lit(2)))
+        per_creator = both.groupBy("platform", "creator_id").agg(F.sum("side").alias("sides"))
+        rows.append(
+            per_creator.agg(
+                F.count_if(F.col("sides") != 2).alias("left_creators"),
+                F.count_if(F.col("sides") != 1).alias("right_creators"),
+                F.count_if(F.col("sides") == 3).alias("shared_creators"),
+            ).select(F.lit(left).alias("left_split"), F.lit(right).alias("right_split"), "*")
+        )
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 @query
 def seed_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     channels = given.youtube_channels(spark, sf_dir).withColumn("seed_keyword", F.lit("review"))
@@ -433,6 +454,15 @@ def creator_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return api.directory_by_reputation(api.creator_directory(_scores(spark, sf_dir)))
 
 
+@query
+def directory_from_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The creators while the scored store is still empty."""
+    nothing = _scores(spark, sf_dir).where(F.lit(False))
+    features = _features(spark, sf_dir)
+    scores = api.available_scores(nothing, _leaderboard(spark, sf_dir), gold.serving_events(features))
+    return api.directory_by_reputation(api.creator_directory(scores))
+
+
 @query
 def directory_from_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return api.directory_from_top(api.top_creators(_scores(spark, sf_dir), 100))
@@ -743,7 +773,10 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(
         _feature_report(spark, sf_dir),
         quality_comments(spark, sf_dir),
+        quality_trust(spark, sf_dir),
+        quality_raw_orders(spark, sf_dir),
         quality.json_events_report(_event_lines(spark, sf_dir)),
+        quality.missing_report(spark, "live_bundles"),
     )
 
 

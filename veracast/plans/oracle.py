@@ -668,6 +668,12 @@ QUERIES: dict[str, str] = {
         SELECT {SCORE_ROW}, {trust_label('trust_score')} AS trust_label FROM newest
         ORDER BY trust_score DESC, ts DESC, kol_id LIMIT 10""",
     "creator_directory": "SELECT * FROM directory",
+    "directory_from_leaderboard": f"""
+        SELECT creator_id AS kol_id, creator_name AS name, platform, follower_count AS followers, trust_score >= 70 AS verified,
+               {half_up('trust_score / 100e0', 4)} AS reputation_score,
+               CASE WHEN trust_score >= 70 THEN 'trusted' WHEN trust_score >= 45 THEN 'watch' ELSE 'risky' END AS risk_profile,
+               'normal' AS default_mode
+        FROM leaderboard""",
     "directory_from_top": f"""
         SELECT kol_id, kol_name AS name, platform, followers, {trust_label('trust_score')} AS risk_profile,
                trust_score / 100e0 AS reputation_score
@@ -787,10 +793,6 @@ QUERIES: dict[str, str] = {
                0 AS type_rows, count(*) FILTER (WHERE error IS NOT NULL OR missing <> '') AS broken_rows, count(*) AS row_count,
                CASE WHEN count(*) FILTER (WHERE error IS NOT NULL OR missing <> '') = 0 THEN 'ok' ELSE 'failed' END AS status
         FROM event_lines""",
-    "quality_report": """
-        SELECT 'influencer_features' AS table_name, (SELECT count(*) FROM kept) AS row_count, 0 AS failed_rules, 'ok' AS status
-        UNION ALL SELECT 'comments_sentiment', (SELECT count(*) FROM lines), 0, 'ok'
-        UNION ALL SELECT 'serving_events', (SELECT count(*) FROM events), 1, 'failed'""",
     "dataset_stats": f"""
         WITH per_table AS (
             SELECT 'youtube_channels' AS t, count(*) + count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS raw_rows,
@@ -859,6 +861,22 @@ QUERIES: dict[str, str] = {
 }
 
 
+# What the report sums up are the rows of the single checks.
+_CHECKS = ("quality_influencer", "quality_comments", "quality_trust", "quality_raw_orders", "quality_events_report")
+QUERIES["quality_report"] = f"""
+    SELECT table_name, max(row_count)::BIGINT AS row_count, count(*) FILTER (WHERE status <> 'ok') AS failed_rules,
+           CASE WHEN bool_or(status = 'missing') THEN 'missing' WHEN bool_and(status = 'ok') THEN 'ok' ELSE 'failed' END AS status
+    FROM ({" UNION ALL ".join(f"SELECT table_name, row_count, status FROM ({QUERIES[name]})" for name in _CHECKS)}
+          UNION ALL SELECT 'live_bundles', 0, 'missing')
+    GROUP BY table_name"""
+QUERIES["split_overlap"] = f"""
+    WITH creators AS (SELECT DISTINCT platform, creator_id, {split_name('platform', 'creator_id')} AS split FROM unified)
+    SELECT a AS left_split, b AS right_split,
+           (SELECT count(*) FROM creators WHERE split = a) AS left_creators, (SELECT count(*) FROM creators WHERE split = b) AS right_creators,
+           (SELECT count(*) FROM creators x JOIN creators y USING (platform, creator_id) WHERE x.split = a AND y.split = b) AS shared_creators
+    FROM (VALUES ('train', 'eval'), ('train', 'analysis_profile'), ('eval', 'analysis_profile')) v(a, b)"""
+
+
 def _uses(sql: str) -> list[str]:
     read = set(re.findall(r"\b(?:FROM|JOIN)\s+(\w+)", sql))
     return [name for name in CTES if name in read]

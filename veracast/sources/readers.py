@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StructType
@@ -14,6 +16,16 @@ def _is_missing(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
+def if_there(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What `read` gives, or None where its path does not exist."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if not _is_missing(error):
+            raise
+        return None
+
+
 def with_input_order(df: DataFrame, name: str = "seq") -> DataFrame:
     """Order of files by time and name, of splits in a file, of rows in a split."""
     return df.withColumn(
