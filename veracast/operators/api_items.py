@@ -51,10 +51,11 @@ def normalize_channels(items: DataFrame) -> DataFrame:
 def normalize_videos(items: DataFrame, channels: DataFrame, order: str = "collected_at") -> DataFrame:
     """Video items with their channel's sizes; the channel also stands in for missing names.
     The channel of an item is found by the channel id in its snippet; of a channel listed several
-    times the last row by `order` counts, so no video is multiplied."""
+    times the last row by `order` (where channels have it) counts, so no video is multiplied."""
     values = F.struct(F.col("channel_name"), F.col("subscriber_count"), F.col("video_count"))
+    newest = F.struct(F.col(order), values) if order in channels.columns else values
     last = channels.groupBy(F.col("channel_id").alias("_channel")).agg(
-        F.max_by(values, F.struct(F.col(order), values)).alias("_last")
+        F.max_by(values, newest).alias("_last")
     )
     lookup = last.select(
         "_channel",
