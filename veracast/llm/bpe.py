@@ -6,15 +6,14 @@ import codecs
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import arrow_stage, text_list, texts
-from .tokenizer import SPACE, Memo, blocks, byte_letters, merges, special_pieces
+from .common import arrow_stage, held, text_list, texts
+from .tokenizer import SPACE, Memo, Merges, blocks, byte_letters, special_pieces
 
 #: How the vocabulary's makers cut lower-cased text into words; fixed value.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^" + SPACE + r"\p{L}\p{N}]+")
@@ -38,7 +37,7 @@ class Encoder:
     ones are remembered, long ones stream through the merge transducer."""
 
     def __init__(self, path: str):
-        self.merges = merges(path)
+        self.merges = Merges(path)
         self.memo = Memo(self._chunks)
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
@@ -65,8 +64,7 @@ class Decoder:
     """Ids to text. A vocabulary with a byte decoder gives bytes, which leave as text as soon as they
     are whole characters; without one the token names are joined by spaces."""
 
-    def __init__(self, path: str):
-        own = merges(path)
+    def __init__(self, own: Merges):
         self.joined = own.decoder is None
         if self.joined:
             pieces = {i: name.encode() for i, name in own.names.items()}
@@ -88,14 +86,14 @@ class Decoder:
         return "".join(self.text(ids))
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def coder(path: str) -> tuple[Encoder, Decoder]:
+    """Both directions over one vocabulary, loaded once in a worker."""
 
+    def build() -> tuple[Encoder, Decoder]:
+        encoder = Encoder(path)
+        return encoder, Decoder(encoder.merges)
 
-@lru_cache(maxsize=2)
-def decoder(path: str) -> Decoder:
-    return Decoder(path)
+    return held(("bpe", path), build)
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -113,7 +111,7 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
     """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        enc, dec = encoder(path), decoder(path)
+        enc, dec = coder(path)
         ids = enc.encode_all(text_list(batch.column("text")))
         decoded = pa.array([dec.decode(x) for x in ids], pa.string())
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(ids), decoded], ["doc_id", "ids", "decoded"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,9 @@ from veracast.session import scratch_path
 
 #: Words are the runs between these white-space characters.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Of a batch that comes in, so many bytes are worked on at once.
+SLICE_BYTES = 8 << 20
+_HELD: dict = {}
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -23,17 +27,27 @@ def texts(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     return df.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
+def held(key: tuple, build: Callable[[], Any]) -> Any:
+    """What an operator keeps in a worker process between tasks (tables, remembered words). A worker
+    keeps this for one operator only: the next one takes the place."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def arrow_stage(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType) -> DataFrame:
-    """`work` on each Arrow batch of `df`, inside the task that has it."""
+    """`work` on each Arrow batch of `df`, inside the task that has it, some megabytes at a time."""
 
     def stage(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield work(batch)
+            rows = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+            for at in range(0, batch.num_rows, rows):
+                yield work(batch.slice(at, rows))
 
     return partition_stage(df, stage, schema)
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_stage, text_list, texts
+from .common import arrow_stage, held, text_list, texts
 from .word_hash import WordHashes, sequences
 
 WIDTH = 5
@@ -86,14 +86,13 @@ class Search:
         self.items = items
         self.maybe = np.zeros(1 << _BITS, bool)
         self.maybe[items.keys >> np.uint64(64 - _BITS)] = True
-        self.hashes = WordHashes()
 
     def matches(self, values: list[str]) -> list[tuple[int, int | None, int, int]]:
         """(text index, item id, shared shingles, shingles of the item) of every pair that reaches the threshold."""
         items, out = self.items, []
         if not len(items.keys):
             return out
-        for start, words, flat, begins in self.hashes.of(values):
+        for start, words, flat, begins in held(("decontamination",), WordHashes).of(values):
             of, found = _hashes_of(flat[:, 0], begins)
             near = np.flatnonzero(self.maybe[found >> np.uint64(64 - _BITS)])
             of, found = of[near], found[near]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, arrow_stage, partition_stage, stored, text_list, texts
+from .common import WORD, arrow_stage, held, partition_stage, stored, text_list, texts
 from .components import components
 
 SHINGLE, SEED, BITS = 4, 42, 4
@@ -50,8 +50,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return arrow_stage(texts(docs), work, "doc_id long, fp long")
 
 
-@lru_cache(maxsize=1)
 def golay_table() -> np.ndarray:
+    return held(("golay",), _golay_table)
+
+
+def _golay_table() -> np.ndarray:
     """For each 23-bit word the 12 message bits of the only codeword within three bits of it."""
     messages = np.arange(1 << 12, dtype=np.int64)
     checks = messages << 11

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from typing import NamedTuple
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import arrow_stage, text_list, texts
-from .tokenizer import SPACE, Memo, blocks, merges, special_pieces
+from .common import arrow_stage, held, text_list, texts
+from .tokenizer import SPACE, Memo, Merges, blocks, special_pieces
 
 #: How the vocabulary's makers cut text into pieces before merging; fixed value.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N}]+|[" + SPACE + r"]+(?![^" + SPACE + r"])|[" + SPACE + r"]+")
@@ -41,7 +40,7 @@ class CountTransducer:
     compiled table is bounded."""
 
     def __init__(self, path: str):
-        self.merges = merges(path)
+        self.merges = Merges(path)
         self.emits = Memo(self._compile)
 
     def _compile(self, steps: list[str]) -> list[int]:
@@ -111,9 +110,8 @@ class CountTransducer:
         return out
 
 
-@lru_cache(maxsize=2)
 def transducer(path: str) -> CountTransducer:
-    return CountTransducer(path)
+    return held(("token counts", path), lambda: CountTransducer(path))
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterable
-from functools import lru_cache
 
 import numpy as np
 import regex
@@ -207,16 +206,10 @@ class Merges:
         return [i for part in self.stream(piece) for i in part]
 
 
-@lru_cache(maxsize=4)
-def merges(path: str) -> Merges:
-    """Loaded once in each worker process."""
-    return Merges(path)
-
-
 class Memo(dict):
     """A bounded memory of what was worked out for short strings; it starts anew when it is full."""
 
-    def __init__(self, work: Callable[[list[str]], list], most: int = 800_000, longest: int = 64):
+    def __init__(self, work: Callable[[list[str]], list], most: int = 400_000, longest: int = 64):
         super().__init__()
         self.work, self.most, self.longest = work, most, longest
 

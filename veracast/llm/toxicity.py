@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_stage, partition_stage, stored, text_list, texts
+from .common import arrow_stage, held, partition_stage, stored, text_list, texts
 from .word_hash import WordHashes, mixed, owners, sequences
 
 #: Labelled rows learnt from at most, by class; the bound of the one task that learns.
@@ -27,9 +26,8 @@ THRESHOLD = 0.3
 _FILTER_BITS = 24
 
 
-@lru_cache(maxsize=1)
 def _hashes() -> WordHashes:
-    return WordHashes(stems=STEMS)
+    return held(("toxicity",), lambda: WordHashes(stems=STEMS))
 
 
 def _grams(hashes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
