@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_stage, partition_stage, stored
+from .common import arrow_stage, byte_list, partition_stage, stored
 from .rolling import Rolling
 
 SUFFIX = "core long, full long, key_id long, tie int, at long"
@@ -175,7 +175,7 @@ class Plan:
     """How a remover sees its texts: width of a window in units, dtype of a unit in a stretch, the two
     unit numbers, the units of texts, and whether the first occurrence stays."""
 
-    def __init__(self, width: int, kind: str, numbers, cut: Callable[[list[str]], Iterator[tuple[int, np.ndarray]]], keep_first: bool):
+    def __init__(self, width: int, kind: str, numbers, cut: Callable[[list[bytes]], Iterator[tuple[int, np.ndarray]]], keep_first: bool):
         self.width, self.kind, self.numbers, self.cut, self.keep_first = width, kind, numbers, cut, keep_first
 
 
@@ -222,7 +222,7 @@ def marks(docs: DataFrame, suffixes: DataFrame, plan: Plan) -> DataFrame:
         size = np.dtype(plan.kind).itemsize
         rows: list[tuple] = []
         asked_of, ids, ties = (batch.column(c).to_pylist() for c in ("asked", "key_id", "tie"))
-        for k, units in plan.cut(batch.column("text").to_pylist()):
+        for k, units in plan.cut(byte_list(batch.column("text"))):
             raw = units.tobytes()
             for ask in asked_of[k]:
                 begin, end = ask["at"] >> 8, (ask["at"] >> 8) + (ask["at"] & 255) + width

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -45,6 +46,47 @@ def finished(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
+#: Two unit numbers for each byte.
+BYTE_A, BYTE_B = finished(np.arange(1, 257, dtype=np.uint64)), finished(np.arange(1001, 1257, dtype=np.uint64))
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+_BLOCK = 1 << 20
+
+
+def _names(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Name and first byte of each word, a run of bytes that are no blanks."""
+    inside = ~_BLANK[data]
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).view(np.int8)))
+    begin, end = edge[::2], edge[1::2]
+    a, b = Rolling(BYTE_A[data], 0).of(begin, end), Rolling(BYTE_B[data], 1).of(begin, end)
+    return finished(finished(a) + b + (end - begin).astype(np.uint64)), begin
+
+
+def word_names(values: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For blocks of texts: index of the first one, a 64-bit name for every word, and where each text
+    begins among them. Equal words have equal names. A long text is named in parts, cut at a blank."""
+    start = 0
+    while start < len(values):
+        stop, size = start, 0
+        while stop < len(values) and (stop == start or size + len(values[stop]) < _BLOCK):
+            size += len(values[stop])
+            stop += 1
+        if stop == start + 1 and size > 2 * _BLOCK:
+            text, at, parts = values[start], 0, []
+            while at < size:
+                cut = next((k for k in range(min(at + _BLOCK, size), size) if _BLANK[text[k]]), size)
+                parts.append(_names(np.frombuffer(text[at:cut], np.uint8))[0])
+                at = cut
+            names = np.concatenate(parts)
+            yield start, names, np.array([0, len(names)])
+        else:
+            data = np.frombuffer(b" ".join([*values[start:stop], b""]), np.uint8)
+            names, begin = _names(data)
+            first = np.cumsum([0, *(len(v) + 1 for v in values[start:stop])])
+            yield start, names, np.searchsorted(begin, first)
+        start = stop
+
+
 def least_at(keys: np.ndarray, width: int) -> np.ndarray:
     """For each i the place of the smallest of keys[i : i + width], the leftmost of several.
 

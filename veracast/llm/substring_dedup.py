@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import WORD, arrow_stage, texts
+from .common import arrow_stage, byte_list, texts
 from .repeats import SUFFIX, Plan, keyed, marks, spans, suffix_batch, with_marks
-from .rolling import Rolling, anchored, finished, least_at
-from .word_hash import WordHashes, owners
+from .rolling import Rolling, anchored, finished, least_at, word_names
+from .word_hash import owners
 
 WIDTH = 20
 ROUNDS = 2
@@ -24,11 +23,6 @@ _PIECE = 1 << 22
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-@lru_cache(maxsize=1)
-def _hashes() -> WordHashes:
-    return WordHashes(WORD, lower=False)
-
-
 def _numbers(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     names = names.astype(np.uint64)
     return names, finished(names ^ np.uint64(0x5851F42D4C957F2D))
@@ -70,10 +64,10 @@ def _suffixes(names: np.ndarray, text: np.ndarray, ends: np.ndarray) -> tuple[np
     return text[low], core, full, low, high
 
 
-def _cut(values: list[str]) -> Iterator[tuple[int, np.ndarray]]:
-    for start, _, hashes, begins in _hashes().of(values):
+def _cut(values: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
+    for start, names, begins in word_names(values):
         for k in range(len(begins) - 1):
-            yield start + k, hashes[begins[k] : begins[k + 1], 0]
+            yield start + k, names[begins[k] : begins[k + 1]]
 
 
 PLAN = Plan(WIDTH, "u8", _numbers, _cut, keep_first=True)
@@ -93,8 +87,8 @@ def remove_passages(docs: DataFrame) -> DataFrame:
 
     def suffixes(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts = []
-        for start, _, hashes, begins in _hashes().of(batch.column("text").to_pylist()):
-            text, names = owners(begins), hashes[:, 0]
+        for start, names, begins in word_names(byte_list(batch.column("text"))):
+            text = owners(begins)
             ends = begins[1:][text]
             for at in range(0, len(names), _PIECE):  # what is settled by a window is settled in any piece that holds it
                 piece = slice(at, at + _PIECE + WIDTH - 1)
@@ -105,8 +99,8 @@ def remove_passages(docs: DataFrame) -> DataFrame:
 
     def remove(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes, runs, kept = [], [], []
-        for text, found in zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist()):
-            words = WORD.findall(text)
+        for raw, found in zip(byte_list(batch.column("text")), batch.column("marks").to_pylist()):
+            words = raw.split()  # bytes part at exactly these blanks
             gone = spans(found)
             at, parts = 0, []
             for begin, end in gone:
@@ -114,9 +108,9 @@ def remove_passages(docs: DataFrame) -> DataFrame:
                 at = end
             sizes.append(len(words))
             runs.append([{"begin": x, "end": y} for x, y in gone])
-            kept.append(" ".join([*parts, *words[at:]]))
+            kept.append(b" ".join([*parts, *words[at:]]))
         kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-        columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(runs, kind), pa.array(kept, pa.string())]
+        columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(runs, kind), pa.array(kept, pa.binary()).cast(pa.string())]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "spans", "kept"])
 
     found = marks(own, arrow_stage(own, suffixes, SUFFIX), PLAN)

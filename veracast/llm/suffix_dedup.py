@@ -8,19 +8,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import arrow_stage, texts
+from .common import arrow_stage, byte_list, texts
 from .repeats import SUFFIX, Plan, keyed, marks, spans, suffix_batch, with_marks
-from .rolling import Rolling, anchored, finished, least_at
+from .rolling import BYTE_A, BYTE_B, Rolling, anchored, finished, least_at
 
 WIDTH = 400
 #: An anchor is the byte whose next GRAM bytes hash lowest among the first SPAN places of a window.
 GRAM, SPAN = 16, 128
 _BLOCK = 1 << 20
-_A, _B = finished(np.arange(1, 257, dtype=np.uint64)), finished(np.arange(1001, 1257, dtype=np.uint64))
 
 
 def _numbers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return _A[data], _B[data]
+    return BYTE_A[data], BYTE_B[data]
 
 
 def _pieces(values: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
@@ -56,9 +55,9 @@ def _suffixes(block: list[tuple[int, int, bytes]]) -> tuple[np.ndarray, ...]:
     return np.array([k for k, _, _ in block])[own], core, full, low + base[own], high + base[own]
 
 
-def _cut(values: list[str]) -> Iterator[tuple[int, np.ndarray]]:
+def _cut(values: list[bytes]) -> Iterator[tuple[int, np.ndarray]]:
     for k, value in enumerate(values):
-        yield k, np.frombuffer(value.encode("utf-8", "replace"), np.uint8)
+        yield k, np.frombuffer(value, np.uint8)
 
 
 PLAN = Plan(WIDTH, "u1", _numbers, _cut, keep_first=False)
@@ -76,13 +75,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     own = keyed(texts(docs))
 
     def suffixes(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values = [t.encode("utf-8", "replace") for t in batch.column("text").to_pylist()]
-        return suffix_batch(batch, [_suffixes(block) for block in _pieces(values)])
+        return suffix_batch(batch, [_suffixes(block) for block in _pieces(byte_list(batch.column("text")))])
 
     def remove(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes, runs, kept = [], [], []
-        for text, found in zip(batch.column("text").to_pylist(), batch.column("marks").to_pylist()):
-            raw = text.encode("utf-8", "replace")
+        for raw, found in zip(byte_list(batch.column("text")), batch.column("marks").to_pylist()):
             gone = spans(found)
             at, parts = 0, []
             for begin, end in gone:
