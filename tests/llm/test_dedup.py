@@ -99,6 +99,16 @@ def test_repeated_passages_in_small_buckets(spark, monkeypatch):
     both_ways(spark, passages(seed=8, n=16))
 
 
+def test_repeated_row_holds_a_passage_first(spark, monkeypatch):
+    """The rows of document 1 are one document; others share its passage only in part."""
+    words = [f"w{k}" for k in range(300)]
+    rows = [(1, " ".join(words), "s")] * 3 + [(2, " ".join(words[:120] + [f"x{k}" for k in range(200)]), "s"), (3, " ".join([f"y{k}" for k in range(90)] + words[150:]), "s")]
+    rows += [(5, " ".join(f"n{k}" for k in range(200)), "s")] * 2 + [(4, " ".join([f"n{k}" for k in range(60, 150)] + [f"z{k}" for k in range(90)]), "s")]
+    both_ways(spark, rows)
+    monkeypatch.setattr(repeats, "CORE_ROWS", 1)
+    both_ways(spark, rows)
+
+
 def test_repeats_of_nothing(spark):
     empty = documents(spark, [(1, "x", "s")]).limit(0)
     assert substring_dedup.remove_passages(empty).collect() == []

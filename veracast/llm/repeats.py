@@ -230,7 +230,9 @@ def marks(docs: DataFrame, suffixes: DataFrame, plan: Plan) -> DataFrame:
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else ((),) * 6, kinds)], ["core", "key_id", "tie", "start", "shared", "stretch"])
 
-    rows = stored(arrow_stage(docs.join(asked, ["key_id", "tie"]).select("key_id", "tie", "text", "asked"), stretches, _STRETCH), "stretches")
+    # Rows alike in both are one document: a second one would cut the same stretches again, as if they were other places.
+    once = docs.join(asked, ["key_id", "tie"]).select("key_id", "tie", "text", "asked").dropDuplicates(["key_id", "tie"])
+    rows = stored(arrow_stage(once, stretches, _STRETCH), "stretches")
     large = rows.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CORE_ROWS).select("core")
     near = rows.join(large, "core", "left_anti").repartition("core").sortWithinPartitions("core")
     far = rows.join(large, "core", "left_semi")
