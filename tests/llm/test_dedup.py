@@ -50,6 +50,15 @@ def test_boilerplate_lines(spark):
     assert line_dedup.remove_boilerplate(documents(spark, rows).limit(0)).collect() == []
 
 
+def test_boilerplate_lines_of_shared_ids(spark):
+    """Rows without an id, or with the same one, lose the lines of their own text only."""
+    rows = [(i, f"wide\nown {i}", f"s{i}") for i in range(5)]
+    rows += [(None, "a\nwide\nb", "x"), (None, "c\nd\nwide", "y"), (7, "wide\ne", "x"), (7, "f\nwide", "y"), (7, "g\nh", "z")]
+    found = line_dedup.remove_boilerplate(documents(spark, rows), min_sites=5).collect()
+    expected = [(str(i), t.count("\n") + 1, t.count("wide"), "\n".join(x for x in t.split("\n") if x != "wide")) for i, t, _ in rows]
+    assert sorted((str(r.doc_id), r.n_lines, r.n_removed, r.kept_text) for r in found) == sorted(expected)
+
+
 def words_brute(rows):
     first, out = {}, {}
     texts = [(i, t, WORD.findall(t)) for i, t in distinct(rows)]
