@@ -32,6 +32,21 @@ def test_main_text(spark):
     assert html_text.extract(pages.limit(0)).collect() == []
 
 
+def test_main_text_of_wrappers_and_unclosed_elements():
+    story = "<p>Long text, with commas, and words.</p><p>Next, block.</p>"
+    text = "Long text, with commas, and words.\n\nNext, block."
+    beside = "<div class=sidebar><p>Other, things.</p></div>"
+    for wrapper in ("style='overflow:hidden'", 'title="hidden gems"', "class=no-sidebar", 'class="has-related-posts x"', 'id="search-results-page"', "class=widget"):
+        assert html_text.main_text(f"<body><div {wrapper}>{story}</div></body>") == text, wrapper
+    for wrapper in ("class=content-with-sidebar", "class=no-sidebar"):
+        assert html_text.main_text(f"<body><div {wrapper}><div>{story}</div>{beside}</div></body>") == text, wrapper
+    for gone in ("hidden", "HIDDEN=''", "style='display: none'", "style=visibility:hidden", 'aria-hidden="true"'):
+        assert html_text.main_text(f"<body><div {gone}>{story}</div><div><p>Seen.</p></div></body>") == "Seen.", gone
+    for raw in ("<svg viewBox='0 0 1 1'/>", "<math />", "<button>", "<script src=x /><script>y</script>", "<svg><g/><svg></svg>z</svg>", "<canvas>", "<select><option></select>", "<iframe src=x>", "<script>'<button>'</script>"):
+        assert html_text.main_text(f"<article>{raw}{story}<button>Go</button></article>") == text, raw
+    assert html_text.main_text("<article>" + story + "<button>" * 20000 + "<iframe>" * 20000 + "<svg/>" * 20000 + "</article>") == text
+
+
 def shingles(text):
     words = toxicity_words(text or "")
     return {tuple(words[k : k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set())
