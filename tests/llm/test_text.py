@@ -47,6 +47,20 @@ def test_main_text_of_wrappers_and_unclosed_elements():
     assert html_text.main_text("<article>" + story + "<button>" * 20000 + "<iframe>" * 20000 + "<svg/>" * 20000 + "</article>") == text
 
 
+def test_main_text_keeps_short_parts():
+    """Points choose the article; short parts of it stay, lists of links do not."""
+    body = "".join(f"<p>Paragraph {k}, " + "with words, " * 20 + "and an end.</p>" for k in range(5))
+    menu = "<div class=x><a href=1>one link</a> <a href=2>another link</a></div>"
+    for page, first, last in (
+        (f"<div class=post><div class=title><h1>Head</h1></div><div class=body>{body}</div></div>", "Head", "and an end."),
+        (f"<div>{menu}<section>{body}</section><section><p>Short, with, a few words.</p></section></div>", "Paragraph 0", "Short, with, a few words."),
+        (f"<div><div><h2>Far head</h2></div><div>{menu}Bare text<div><div>{body}</div></div></div><div><ul><li>a last item</li></ul></div></div>", "Far head", "a last item"),
+    ):
+        found = html_text.main_text(f"<body>{menu}{page}<footer>foot</footer></body>")
+        assert found.startswith(first) and found.endswith(last) and found.count("Paragraph") == 5, found
+        assert "link" not in found and "foot" not in found and ("Bare text" in found) == ("Bare text" in page)
+
+
 def shingles(text):
     words = toxicity_words(text or "")
     return {tuple(words[k : k + 5]) for k in range(len(words) - 4)} or ({tuple(words)} if words else set())

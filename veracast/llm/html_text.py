@@ -243,7 +243,8 @@ class Page:
 
     def main_text(self) -> str:
         """Paragraphs pass points for length and commas to their ancestors, half as many at each level;
-        letters in links take points away. The best container and its good siblings are the article."""
+        letters in links take points away. The best article or main element and those like it are the article; without one, the best
+        container and all around it that is not mostly links."""
         self._judge_names()
         for node in self.nodes[1:]:
             node.out = node.out or node.parent.out
@@ -281,18 +282,25 @@ class Page:
         best = max(articles or open_nodes, key=lambda n: (score(n), -n.order))
         limit = max(10.0, 0.2 * score(best))
         chosen = {best.order}
+        on_path: set[int] = set()
         if not articles:
+            # Points choose the article but do not cut it: beside the best container and each one around it,
+            # all that is not mostly links stays, however short.
+            children: dict[int, list[Node]] = {}
             for node in open_nodes:
-                if node.parent is best.parent and node is not best and best.parent is not None:
-                    clean = node.links < 0.25 * node.letters
-                    if score(node) >= limit or (node.tag in ("p", "h1", "h2") and clean):
-                        chosen.add(node.order)
+                if node.parent is not None:
+                    children.setdefault(node.parent.order, []).append(node)
+            above = best.parent
+            while above is not None:
+                on_path.add(above.order)
+                chosen |= {n.order for n in children.get(above.order, ()) if n.order not in on_path and (n.links < 0.5 * n.letters or score(n) >= limit)}
+                above = above.parent
         else:
             chosen |= {n.order for n in articles if n.tag == best.tag and score(n) >= limit}
         inside: dict[int, bool] = {}
         for node in self.nodes:
             inside[node.order] = node.order in chosen or (node.parent is not None and inside[node.parent.order])
-        return "\n\n".join(text for node, text, _ in kept if inside[node.order])
+        return "\n\n".join(text for node, text, linked in kept if inside[node.order] or (node.order in on_path and linked < 0.5 * len(text)))
 
 
 def main_text(source: str | None) -> str:
