@@ -168,6 +168,25 @@ def test_pipeline_takes_awkward_rows(spark):
     assert docs.count() >= 5
 
 
+def test_pipeline_judges_rows_by_their_texts(spark):
+    """Rows without an id, or with the same one, stay or go each by its own text."""
+    folder = "/root/testdata/sf0.001"
+    item = max((r.text for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()), key=len)
+    own = [" ".join(f"{c}{k}" for k in range(80)) for c in "abcdefg"]
+    rows = [(None, own[0], "s"), (None, own[1], "s"), (5, own[2], "s"), (5, own[3], "s"), (3, own[3] + "  ", "s"), (None, item, "s"), (5, item + " x", "s"), (7, own[4], "s"), (7, own[4] + " ", "s")]
+    rows += [(None, own[5], "s"), (None, own[5], "s"), (None, own[6], "s"), (8, own[6], "s")]
+    docs = documents(spark, rows)
+    stages = dict(corpus_pipeline.STAGES)
+    expected = {(None, own[0]), (None, own[1]), (5, own[2]), (3, own[3] + "  "), (7, own[4] + " "), (None, own[5]), (8, own[6])}
+    exact = stages["exact dedup"](spark, docs, folder)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in exact.collect()))) == sorted(map(str, expected | {(None, item), (5, item + " x")}))
+    near = stages["simhash near-dedup"](spark, exact, folder)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in near.collect()))) == sorted(map(str, expected | {(5, item + " x")}))
+    clean = stages["benchmark decontamination"](spark, near, folder)
+    assert sorted(map(str, ((r.doc_id, r.text) for r in clean.collect()))) == sorted(map(str, expected))
+    assert clean.columns == docs.columns
+
+
 def test_oracles_name_queries():
     assert set(queries.ORACLE) <= set(queries.QUERIES)
     assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))

@@ -93,6 +93,30 @@ def drop_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return _rows(docs).join(gone.select(_id_key("doc_id")).distinct(), "__id_key", "left_anti").select("document.*")
 
 
+def row_key() -> Column:
+    """A number of a row's doc_id, null or not, and its text: rows alike in both have one, rows that only share an id do not."""
+    own = F.col("doc_id").cast("long")
+    return F.xxhash64(own.isNull(), F.coalesce(own, F.lit(0).cast("long")), F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame, key: Column) -> DataFrame:
+    """The documents whose `key` is in the only column of `kept`, one row for each key, that with the longest
+    text, with their own columns only."""
+    found = _keyed_rows(docs, key).join(kept.toDF("__key").distinct(), "__key", "left_semi")
+    text = F.coalesce(F.col("document.text").cast("string"), F.lit(""))
+    longest = F.max_by("document", F.struct(F.length(text), F.xxhash64(text)))
+    return found.groupBy("__key").agg(longest.alias("document")).select("document.*")
+
+
+def drop_rows(docs: DataFrame, gone: DataFrame, key: Column) -> DataFrame:
+    """The documents whose `key` is not in the only column of `gone`, with their own columns only."""
+    return _keyed_rows(docs, key).join(gone.toDF("__key").distinct(), "__key", "left_anti").select("document.*")
+
+
+def _keyed_rows(docs: DataFrame, key: Column) -> DataFrame:
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), key.alias("__key"))
+
+
 def text_list(column: pa.Array | pa.ChunkedArray) -> list[str]:
     return column.to_pylist()
 

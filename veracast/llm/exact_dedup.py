@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import texts
@@ -10,6 +10,11 @@ from .common import texts
 _BLANKS = r"[\x20\x09-\x0D]+"
 
 
+def normalised(text: Column) -> Column:
+    """A text without blanks and line breaks; a null text is empty."""
+    return F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), _BLANKS, "")
+
+
 def mark_duplicates(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -23,7 +28,7 @@ def mark_duplicates(docs: DataFrame) -> DataFrame:
     normalised bytes themselves, so two texts that collide are two groups. It combines before the
     shuffle, which carries each distinct text once per input partition, however large a group is.
     """
-    normal = texts(docs).select("doc_id", F.length("text").alias("points"), F.regexp_replace("text", _BLANKS, "").alias("normal"))
+    normal = texts(docs).select("doc_id", F.length("text").alias("points"), normalised(F.col("text")).alias("normal"))
     hashed = normal.withColumn("hash128", F.unhex(F.md5("normal")))
     # The complement of an id falls as the id rises, so one maximum settles length and tie.
     best = F.max(F.struct(F.col("points"), F.bitwise_not(F.col("doc_id")).alias("turned"))).alias("best")
