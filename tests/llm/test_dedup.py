@@ -7,7 +7,7 @@ import xxhash
 from fixture import documents, passages
 from pyspark.sql import functions as F
 
-from veracast.llm import components, exact_dedup, line_dedup, repeats, simhash, substring_dedup, suffix_dedup
+from veracast.llm import components, exact_dedup, line_dedup, near_copies, repeats, simhash, substring_dedup, suffix_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -214,3 +214,43 @@ def test_compared_parts_lose_no_link(spark):
         found = dict(map(tuple, components.components(simhash.links(fps, group)).collect()))
         assert len({found.get(v, v) for v in values}) == 1
     assert simhash.links(fps, 40).select(F.max(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))))).first()[0] <= 4
+
+
+def test_near_copies_like_brute_force(spark, monkeypatch):
+    """Families of copies around a similarity of 0.8, short and equal texts, a passage that many share."""
+    rng = np.random.default_rng(12)
+    texts = ["", "...", "one two three", "One two THREE", "one two four", "a b c d e"]
+    common = [f"c{k}" for k in range(12)]
+    for family in range(14):
+        base = [f"f{family}w{k}" for k in rng.integers(0, 400, int(rng.integers(30, 260)))]
+        for copy in range(int(rng.integers(2, 9))):
+            words = list(base)
+            for _ in range(int(rng.integers(0, 1 + len(words) // 40))):
+                words[int(rng.integers(0, len(words)))] = f"edit{family}x{copy}"
+            texts.append(" ".join(words + common if family % 2 else words))
+    rows = list(enumerate(texts)) + [(len(texts), None)]
+    sets = [set(zip(*(w[k:] for k in range(5)))) or {tuple(w)} for w in (WORD.findall((t or "").lower()) for _, t in rows)]
+    parent = list(range(len(rows)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    links = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b):
+                links += 1
+                parent[find(i)] = find(j)
+    assert links > 60
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for frequent in (200_000, 0):  # the order of the shingles makes no difference
+        monkeypatch.setattr(near_copies, "FREQUENT", frequent)
+        found = dict(map(tuple, near_copies.near_copies(docs).collect()))
+        groups, expected = defaultdict(set), defaultdict(set)
+        for i, _ in rows:
+            groups[found[i]].add(i)
+            expected[find(i)].add(i)
+        assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
+    assert near_copies.near_copies(docs.limit(0)).collect() == []
