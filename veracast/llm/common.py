@@ -52,45 +52,37 @@ def arrow_stage(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch],
     return partition_stage(df, stage, schema)
 
 
-def partition_stage(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
-    """`work` on the batches of each partition. The workers find this package where the driver has it;
-    on a cluster without that path it comes by --py-files."""
-    env = df.sparkSession.sparkContext.environment
+def _workers_find_package(spark: SparkSession) -> None:
+    """The workers find this package where the driver has it; on a cluster without that path it comes by --py-files."""
+    env = spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
-    return df.mapInArrow(work, schema)
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """`df` as a Parquet table in the shared folder: it outlives a lost executor and is computed once."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def partition_stage(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    """`work` on the batches of each partition."""
+    _workers_find_package(df.sparkSession)
+    return df.mapInArrow(work, schema)
 
 
-def _id_key(name: str) -> Column:
-    """A doc_id as a text that is never null, so that a null id is an id like another one."""
-    return F.coalesce(F.col(name).cast("long").cast("string"), F.lit("")).alias("__id_key")
-
-
-def _rows(docs: DataFrame) -> DataFrame:
-    """Each row whole, as one column whose fields cannot clash with others, and its id key."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"), _id_key("doc_id"))
+def arrow_column(spark: SparkSession, work: Callable[[pa.Array], pa.Array], kind: str) -> Callable[[Column], Column]:
+    """A column made by `work` from another one, some megabytes at a time. Only that column goes to the
+    Python worker and only the result comes back; the rest of the row waits in the JVM."""
+    _workers_find_package(spark)
 
+    def column(values: pa.Array) -> pa.Array:
+        step = max(1, len(values) * SLICE_BYTES // max(1, values.nbytes))
+        return pa.concat_arrays([work(values.slice(at, step)) for at in range(0, len(values), step)] or [work(values)])
 
-def keep_ids(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose doc_id is in `kept`, one row for each id, with their own columns only."""
-    # The same key partitions the join and the removal of repeated ids: the texts move once.
-    found = _rows(docs).join(kept.select(_id_key("doc_id")).distinct(), "__id_key", "left_semi")
-    return found.dropDuplicates(["__id_key"]).select("document.*")
+    return F.arrow_udf(column, kind)
 
 
-def drop_ids(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not in `gone`, with their own columns only."""
-    return _rows(docs).join(gone.select(_id_key("doc_id")).distinct(), "__id_key", "left_anti").select("document.*")
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """`df` as a Parquet table in the shared folder: it outlives a lost executor and is computed once."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def row_key() -> Column:

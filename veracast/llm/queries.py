@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, exact_dedup, html_text, line_dedup, simhash, substring_dedup, suffix_dedup, token_counts, toxicity
+from . import (
+    bpe, collocations, decontamination, exact_dedup, html_text, importance_resampling, line_dedup, piecewise_hash, simhash, substring_dedup, suffix_dedup,
+    token_counts, toxicity,
+)
 from .common import read
 
 
@@ -65,6 +68,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piecewise_hash.fingerprint_edits(read(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
@@ -76,6 +91,9 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_collocations": op12_collocations,
+    "op13_resampling": op13_resampling,
 }
 
 ORACLE = {
@@ -119,4 +137,36 @@ ORACLE = {
         )
         SELECT f.doc_id, g.keep_id, g.group_size, f.doc_id = g.keep_id AS kept, sha256(f.bare) AS text_sha256
         FROM flat f JOIN grouped g ON f.bare = g.bare""",
+    "op13_resampling": """
+        WITH crc_table AS (
+            SELECT list(list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY i) AS steps
+            FROM range(256) AS r(i)
+        ), doc_words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+            FROM documents
+        ), item_words AS (
+            SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word
+            FROM benchmark
+        ), one AS (SELECT doc_id, unnest(w) AS word FROM doc_words),
+        source_words AS (SELECT word, count(*) AS n FROM one GROUP BY word),
+        target_words AS (SELECT word, count(*) AS n FROM item_words GROUP BY word),
+        vocabulary AS (SELECT word FROM source_words UNION SELECT word FROM target_words),
+        hashed AS (
+            SELECT word, xor(list_reduce(list_concat([4294967295::BIGINT], [('0x' || substr(hex(encode(word)), 2 * k - 1, 2))::BIGINT FOR k IN range(1, octet_length(encode(word)) + 1)]),
+                lambda c, b: xor(c >> 8, steps[xor(c, b) % 256 + 1])), 4294967295) % 10000 AS bucket
+            FROM vocabulary, crc_table
+        ), s AS (SELECT bucket, sum(n) AS n FROM source_words JOIN hashed USING (word) GROUP BY bucket),
+        t AS (SELECT bucket, sum(n) AS n FROM target_words JOIN hashed USING (word) GROUP BY bucket),
+        gain AS (
+            SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM s), 0) + 10000)::DOUBLE
+                / ((coalesce(s.n, 0) + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS g
+            FROM s FULL JOIN t USING (bucket)
+        ), weighed AS (
+            SELECT doc_id, count(*) AS n, sum(g) AS weight FROM one JOIN hashed USING (word) JOIN gain USING (bucket) GROUP BY doc_id
+        ), scored AS (
+            SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+                   (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score
+            FROM documents d LEFT JOIN weighed USING (doc_id)
+        ), placed AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS all_rows FROM scored WHERE n_features >= 20)
+        SELECT s.doc_id, s.n_features, s.weight, s.score, CASE WHEN place <= 10 * all_rows // 100 THEN place END AS rank FROM scored s LEFT JOIN placed p ON s.doc_id = p.doc_id""",
 }

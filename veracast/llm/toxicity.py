@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import arrow_stage, held, partition_stage, stored, text_list, texts
+from .common import arrow_column, arrow_stage, held, partition_stage, stored, text_list, texts
 from .word_hash import WordHashes, mixed, owners, sequences
 
 #: Labelled rows learnt from at most, by class; the bound of the one task that learns.
@@ -172,21 +171,17 @@ class Scorer:
         return out
 
 
-def _scored(docs: DataFrame, model: Model, threshold: float) -> DataFrame:
-    """`docs` has doc_id, text and `document`, the whole row, which goes along untouched."""
-    # The model's size is bounded by the labelled sample.
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def _score_of(spark: SparkSession, model: Model) -> Callable[[Column], Column]:
+    """Scores of a text column. The model's size is bounded by the labelled sample."""
+    sent = spark.sparkContext.broadcast(model)
     cell: list[Scorer] = []
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def work(values: pa.Array) -> pa.Array:
         if not cell:
             cell.append(Scorer(sent.value))
-        found = cell[0].scores(text_list(batch.column("text")))
-        columns = [batch.column("doc_id"), batch.column("document"), pa.array(found), pa.array((found >= threshold).astype(np.int32))]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "document", "score", "predicted"])
+        return pa.array(cell[0].scores(text_list(values)))
 
-    kinds = [docs.schema["doc_id"], docs.schema["document"], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    return arrow_stage(docs, work, T.StructType(kinds))
+    return arrow_column(spark, work, "double")
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
@@ -196,15 +191,15 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     repeated ids too; a null doc_id is not held out. Without labels of both classes the score is
     1.0 if the known ones are toxic and else 0.0. An empty table gives an empty result.
     """
-    scored = _scored(texts(docs).withColumn("document", F.lit(True)), model, threshold)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
-    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    scored = texts(docs).select("doc_id", held_out.alias("held_out"), _score_of(docs.sparkSession, model)(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of `docs`, as they are, whose text is not predicted to be toxic. No row moves to another task."""
+    """The rows of `docs`, as they are, whose text is not predicted to be toxic. No row moves to another
+    task, and only its text goes to the Python worker."""
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
-    own = whole.select(
-        F.col("document.doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("document.text").cast("string"), F.lit("")).alias("text"), "document"
-    )
-    return _scored(own, model, threshold).filter("predicted = 0").select("document.*")
+    text = F.coalesce(F.col("document.text").cast("string"), F.lit(""))
+    scored = whole.withColumn("score", _score_of(docs.sparkSession, model)(text))
+    return scored.filter(F.col("score") < threshold).select("document.*")
