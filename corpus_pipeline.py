@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracast.llm import bpe, decontamination, exact_dedup, near_copies, toxicity
+from veracast.llm import bpe, decontamination, exact_dedup, simhash, toxicity
 from veracast.llm.common import drop_rows, keep_rows, read, row_key, stored
 
 
@@ -26,12 +26,13 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of texts whose five-word shingles have a Jaccard similarity of 0.8 the document
+    """Of each component of texts whose fingerprints (four-word shingles) lie within four bits the document
     with the smallest id stays; a null id loses against every other. Rows that share an id, null or not, are judged each by its own text."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"))
-    linked = near_copies.near_copies(docs.select(row_key().alias("doc_id"), "text")).toDF("row", "component").distinct()
+    marked = simhash.near_duplicates(docs.select(row_key().alias("doc_id"), "text"))
+    linked = marked.select(F.col("doc_id").alias("row"), "component_id").distinct()
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
-    return keep_rows(docs, rows.join(linked, "row").groupBy("component").agg(least.alias("least")).select("least.row"), row_key())
+    return keep_rows(docs, rows.join(linked, "row").groupBy("component_id").agg(least.alias("least")).select("least.row"), row_key())
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +42,8 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, number of tokens, digests of ids and decoded text."""
+    """doc_id, number of tokens, digests of ids and decoded text, a row for each document: repeated and null ids
+    stay as they are, a null text is empty."""
     coded = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
     return coded.select(
         "doc_id",
