@@ -82,20 +82,30 @@ MANIFEST = {
 }
 
 
-def read_raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {
-        name: readers.read_jsonl(spark, f"{root.rstrip('/')}/{name}.jsonl", schema, ordered=True)
-        for name, schema in RAW_FILES.items()
-    }
+class RawInputs(dict[str, DataFrame]):
+    """Raw tables by name, with the files they come from (path -> schema)."""
+
+    files: Mapping[str, str] = {}
+
+
+def read_raw(spark: SparkSession, root: str) -> RawInputs:
+    paths = {name: f"{root.rstrip('/')}/{name}.jsonl" for name in RAW_FILES}
+    raw = RawInputs((name, readers.read_jsonl(spark, paths[name], schema, ordered=True)) for name, schema in RAW_FILES.items())
+    raw.files = {paths[name]: schema for name, schema in RAW_FILES.items()}
+    return raw
 
 
 def build_dataset(spark: SparkSession, raw: Mapping[str, DataFrame], out: str, anonymize: bool = True) -> DataFrame:
     """Write all tables below `out` and return the statistics rows.
 
     Each layer is read back from its written files by the next one, so nothing is computed twice
-    and nothing has to stay in memory.
+    and nothing has to stay in memory. A bad line of a raw file ends the build with its file and number.
     """
-    out = out.rstrip("/")
+    with readers.naming_bad_lines(spark, getattr(raw, "files", {})):
+        return _build(spark, raw, out.rstrip("/"), anonymize)
+
+
+def _build(spark: SparkSession, raw: Mapping[str, DataFrame], out: str, anonymize: bool) -> DataFrame:
     tables = Tables(raw, anonymize)
     writers.write_table(tables.youtube_channels, f"{out}/bronze/youtube/channels", schemas.YOUTUBE_CHANNEL_COLUMNS)
     keep = "first_seq"

@@ -17,7 +17,7 @@ from ..ml import sentiment as sentiment_ml
 from ..ml import trust as trust_ml
 from ..operators import api_items, bronze, dashboard, gold, keyed, live, quality, silver, stats
 from ..session import scratch_path
-from ..sources import given, readers, topic
+from ..sources import given, readers, splits, topic
 from ..streaming import recent, sinks
 from ..streaming.scoring import score_stream
 from . import api, scoring
@@ -693,6 +693,18 @@ def json_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("video_id", *[safe_int(F.col(name)).alias(name) for name in ("view_count", "like_count", "comment_count")])
 
 
+@query
+def json_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as JSON lines, one file for each remainder of the key; urgent ones are cut short, others have a text for a date."""
+    path = scratch_path(spark, "lines")
+    whole = F.to_json(F.struct("o_orderkey", "o_orderstatus", F.when(F.col("o_shippriority") == 0, F.col("o_orderdate").cast("date")).alias("day")))
+    line = F.when(F.col("o_orderpriority") == "1-URGENT", F.substring(whole, 1, 20)).when(F.col("o_orderpriority") == "5-LOW", F.lit('{"day": "soon"}')).otherwise(whole)
+    rows = given.table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 16).alias("part"), "o_orderkey", line.alias("value"))
+    rows.repartition("part").sortWithinPartitions("part", "o_orderkey").select("part", "value").write.partitionBy("part").text(path)
+    found = splits.bad_json_lines(spark, path, "o_orderkey long, o_orderstatus string, day date")
+    return found.select(F.regexp_extract("file", "part=(\\d+)", 1).cast("long").alias("part"), "line", "error", "value")
+
+
 @query
 def api_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return api_items.normalize_channels(given.channel_items(spark, sf_dir))

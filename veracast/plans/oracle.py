@@ -832,6 +832,11 @@ QUERIES: dict[str, str] = {
         SELECT o_orderkey::VARCHAR AS video_id, trunc(o_totalprice)::BIGINT AS view_count, floor(o_totalprice)::BIGINT AS like_count,
                0::BIGINT AS comment_count
         FROM orders""",
+    "json_bad_lines": """
+        SELECT part, line, CASE WHEN o_orderpriority = '1-URGENT' THEN 'invalid JSON' ELSE 'does not fit the schema' END AS error,
+               CASE WHEN o_orderpriority = '1-URGENT' THEN substr('{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"', 1, 20) ELSE '{"day": "soon"}' END AS value
+        FROM (SELECT *, o_orderkey % 16 AS part, row_number() OVER (PARTITION BY o_orderkey % 16 ORDER BY o_orderkey) AS line FROM orders) o
+        WHERE o_orderpriority IN ('1-URGENT', '5-LOW')""",
     "api_channels": """
         SELECT 'youtube' AS platform, 'UC' || c_custkey AS channel_id, c_name || ' ' || crawl AS channel_name,
                floor(abs(c_acctbal))::BIGINT + crawl AS subscriber_count, c_custkey % 500 AS video_count,

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from . import splits
+
 CORRUPT = "_corrupt_record"
 ORDER_TYPE = "struct<at: timestamp, file: string, split: bigint, row: bigint>"
 
@@ -53,7 +56,7 @@ def counts_as_text(rows: DataFrame) -> DataFrame:
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, ordered: bool = False, quarantine: bool = False) -> DataFrame:
     """JSON lines. A missing path is an empty table, blank lines are skipped and a bad line ends
-    the read; counts declared as variant become text of whole numbers; with `quarantine` bad lines are kept whole in `_corrupt_record`."""
+    the read (`naming_bad_lines` tells which); counts declared as variant become text of whole numbers; with `quarantine` bad lines are kept whole in `_corrupt_record`."""
     if quarantine:
         schema = f"{schema}, {CORRUPT} string"
     reader = spark.read.schema(schema)
@@ -74,23 +77,21 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, ordered: bool = Fals
 
 
 def read_csv(spark: SparkSession, path: str, limit: int | None = None, schema: str | None = None) -> DataFrame:
-    """CSV with a header; a byte-order mark is dropped and empty fields are NULL. Quoted fields may
-    hold line breaks, so a file is read as a whole and does not split. `limit` takes the first rows
-    in input order."""
-    reader = (
-        spark.read.option("header", True).option("nullValue", "").option("encoding", "UTF-8")
-        .option("multiLine", True).option("escape", '"')
-    )
+    """CSV with a header; a byte-order mark is dropped and empty fields are NULL. Quoted fields may hold line
+    breaks, and still many tasks read one file (see `splits`). `limit` takes the first rows in input order."""
     try:
-        rows = (reader.schema(schema) if schema else reader).csv(path)
+        fields = spark.createDataFrame([], schema).schema if schema else splits.csv_schema(spark, path)
+        records = splits.csv_records(spark, path) if fields else None
     except AnalysisException as error:
         if not _is_missing(error):
             raise
         return spark.createDataFrame([], schema or StructType())
-    names = [name.lstrip("\ufeff") for name in rows.columns]
+    if records is None:
+        return spark.createDataFrame([], StructType())
+    rows = splits.parsed_csv(records, fields, "_order")
     if limit is not None:
-        rows = with_input_order(rows, "_order").orderBy("_order").limit(max(0, limit)).drop("_order")
-    return rows.toDF(*names)
+        rows = rows.orderBy("_order").limit(max(0, limit))
+    return rows.drop("_order")
 
 
 def read_json_records(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -114,6 +115,18 @@ def read_seed_list(spark: SparkSession, path: str, strip: str = "") -> DataFrame
     return kept.groupBy("value").agg(F.min("seq").alias("seq"))
 
 
+@contextmanager
+def naming_bad_lines(spark: SparkSession, inputs: Mapping[str, str]) -> Iterator[None]:
+    """Work on JSON lines of these files (path -> schema): if a bad line ends it, the error names its file
+    and line. Lines are only numbered then."""
+    try:
+        yield
+    except Exception as error:
+        if "MALFORMED_RECORD_IN_PARSING" in str(error):
+            splits.raise_first_bad_line(spark, inputs)
+        raise
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines with their order, for checks on raw JSON lines."""
     return with_input_order(spark.read.text(path), "line")
