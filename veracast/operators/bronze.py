@@ -6,6 +6,8 @@ columns; `schemas` lists the columns that are written.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import first_nonblank, safe_int
@@ -19,6 +21,9 @@ from ..functions.text import (
 from ..functions.timeparse import normalize_timestamp
 from .keyed import dedupe_latest, present
 
+#: Shown the groups of a deduplication, see `dedupe_latest`.
+Watch = Callable[[DataFrame], DataFrame] | None
+
 
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
@@ -34,9 +39,9 @@ def latest_seed_keywords(seeds: DataFrame) -> DataFrame:
     return usable.groupBy("channel_id").agg(F.max_by("seed_keyword", "seq").alias("_seed"))
 
 
-def build_youtube_channels(channels: DataFrame, seeds: DataFrame) -> DataFrame:
+def build_youtube_channels(channels: DataFrame, seeds: DataFrame, watch: Watch = None) -> DataFrame:
     """Both sides of the seed join have one row per channel, so the join has no hot key."""
-    latest = dedupe_latest(channels, "channel_id")
+    latest = dedupe_latest(channels, "channel_id", watch=watch)
     rows = latest.join(latest_seed_keywords(seeds), "channel_id", "left")
     explicit = first_nonblank(F.coalesce(F.col("_seed"), _own(rows, "seed_keyword")), _own(rows, "category"))
     return with_category(rows, explicit, joined_text(F.col("channel_name"))).select(
@@ -52,9 +57,9 @@ def build_youtube_channels(channels: DataFrame, seeds: DataFrame) -> DataFrame:
     )
 
 
-def build_youtube_videos(videos: DataFrame) -> DataFrame:
+def build_youtube_videos(videos: DataFrame, watch: Watch = None) -> DataFrame:
     """Rows with an id and a positive view count, filtered before the last row per id is taken."""
-    clean = videos.where(present("video_id") & (safe_int(F.col("view_count")) > 0)).select(
+    clean = videos.select(
         "video_id",
         F.lit("youtube").alias("platform"),
         text_or_empty("channel_id").alias("channel_id"),
@@ -70,7 +75,7 @@ def build_youtube_videos(videos: DataFrame) -> DataFrame:
         "seq",
     )
     # Repair and timestamp parsing run on the surviving rows only.
-    return dedupe_latest(clean, "video_id").select(
+    return dedupe_latest(clean, "video_id", kept=F.col("view_count") > 0, watch=watch).select(
         "platform",
         "channel_id",
         repair_mojibake(F.col("channel_name")).alias("channel_name"),
@@ -111,11 +116,12 @@ def creator_text_masks(videos: DataFrame) -> DataFrame:
     )
 
 
-def build_tiktok_creators(creators: DataFrame, videos: DataFrame) -> DataFrame:
+def build_tiktok_creators(creators: DataFrame, videos: DataFrame, watch: Watch = None) -> DataFrame:
     """The id falls back to the username. The category of a creator without one comes from the
     names and all video texts."""
-    keyed = creators.withColumn("creator_id", first_nonblank(F.col("creator_id"), F.col("username")))
-    latest = dedupe_latest(keyed, "creator_id")
+    own_id = present("creator_id")
+    keyed = creators.withColumn("_own_id", own_id).withColumn("creator_id", first_nonblank(F.col("creator_id"), F.col("username")))
+    latest = dedupe_latest(keyed, "creator_id", watch=watch, own_id=F.col("_own_id"))
     rows = latest.join(creator_text_masks(videos), "creator_id", "left")
     names = joined_text(F.col("creator_name"), F.col("username"), F.col("_first_text"))
     return with_category(rows, F.col("category"), names, F.col("_videos_mask")).select(
@@ -132,9 +138,9 @@ def build_tiktok_creators(creators: DataFrame, videos: DataFrame) -> DataFrame:
     )
 
 
-def build_tiktok_videos(videos: DataFrame) -> DataFrame:
+def build_tiktok_videos(videos: DataFrame, watch: Watch = None) -> DataFrame:
     is_list = dict(videos.dtypes)["hashtags"].startswith("array")
-    clean = videos.where(present("content_id") & (safe_int(F.col("view_count")) > 0)).select(
+    clean = videos.select(
         "content_id",
         F.lit("tiktok").alias("platform"),
         text_or_empty("creator_id").alias("creator_id"),
@@ -152,7 +158,7 @@ def build_tiktok_videos(videos: DataFrame) -> DataFrame:
         "seq",
     )
     caption = F.coalesce(first_nonblank(F.col("caption"), F.col("content_title")), F.lit(""))
-    return dedupe_latest(clean, "content_id").select(
+    return dedupe_latest(clean, "content_id", kept=F.col("view_count") > 0, watch=watch).select(
         "platform",
         "content_id",
         "creator_id",

@@ -7,7 +7,7 @@ keys from a broadcast list of fixed length. Last-N windows run in two rounds.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -23,16 +23,28 @@ def present(key: str | Column) -> Column:
     return F.coalesce(column.cast("string"), F.lit("")) != ""
 
 
-def dedupe_latest(df: DataFrame, key: str, seq: str = "seq") -> DataFrame:
-    """The last row per id in input order; rows without an id go. `first_seq` keeps the place
-    where the id first appeared, which decides ties later on."""
+def dedupe_latest(
+    df: DataFrame, key: str, seq: str = "seq", kept: Column | None = None, watch: Callable[[DataFrame], DataFrame] | None = None, own_id: Column | None = None
+) -> DataFrame:
+    """The last of the `kept` rows per id in input order; rows without an id go. `first_seq` keeps the
+    place where the id first appeared, which decides ties later on.
+
+    `watch` is shown one row per id before ids without a kept row go: `_rows` (all rows), `_own` (those
+    with an id of their own, `own_id`) and `_kept`. What it measures there costs no further pass."""
     others = [name for name in df.columns if name != key]
-    return (
-        df.where(present(key))
-        .groupBy(key)
-        .agg(F.max_by(F.struct(*others), F.col(seq)).alias("_row"), F.min(seq).alias("first_seq"))
-        .select(key, "_row.*", "first_seq")
+    if watch is None:
+        rows = df.where(present(key)) if kept is None else df.where(present(key) & kept)
+        grouped = rows.groupBy(key).agg(F.max_by(F.struct(*others), F.col(seq)).alias("_row"), F.min(seq).alias("first_seq"))
+        return grouped.select(key, "_row.*", "first_seq")
+    place = F.col(seq) if kept is None else F.when(kept, F.col(seq))
+    grouped = df.withColumn(key, F.when(present(key), F.col(key))).groupBy(key).agg(
+        F.max_by(F.struct(*others), place).alias("_row"),
+        F.min(place).alias("first_seq"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if(present(key) if own_id is None else own_id).alias("_own"),
+        F.count(place).alias("_kept"),
     )
+    return watch(grouped).where(present(key) & (F.col("_kept") > 0)).select(key, "_row.*", "first_seq")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest: Sequence[Column]) -> DataFrame:

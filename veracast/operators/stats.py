@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from ..functions.numeric import safe_int
+from ..functions.buckets import split_name
 from ..functions.text import has_mojibake
 from .gold import with_split
-from .keyed import id_counts
-
 
 SPLITS = ("train", "eval", "analysis_profile")
 _MARKED = "possible_mojibake_output_rows"
@@ -32,22 +30,6 @@ def _long(df: DataFrame, section: str, names: dict[str, str]) -> DataFrame:
     return df.select(F.explode(F.array(*pairs)).alias("_p")).select(F.lit(section).alias("section"), "_p.*")
 
 
-def raw_table_stats(raw: DataFrame, key: str, table: str, with_views: bool) -> list[DataFrame]:
-    """Raw rows, repeats, clean ids and (for content) ids removed for lack of views, in one pass."""
-    kept = safe_int(F.col("view_count")) > 0 if with_views else None
-    counts = id_counts(raw, key, kept).withColumn("clean_rows", F.col("distinct_ids") - F.col("removed_ids"))
-    quality = {"duplicate_rows": f"duplicate_{table}_removed"}
-    if with_views:
-        quality["removed_ids"] = f"removed_zero_view_{table}"
-    stacked = [("raw", table, "raw_rows"), ("clean", table, "clean_rows")]
-    stacked += [("quality", metric, column) for column, metric in quality.items()]
-    pairs = [
-        F.struct(F.lit(section).alias("section"), F.lit(metric).alias("metric"), F.col(column).alias("value"))
-        for section, metric, column in stacked
-    ]
-    return [counts.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*")]
-
-
 def split_counts(rows: DataFrame, suffix: str) -> DataFrame:
     counts = with_split(rows).agg(
         F.count_if(F.col("split") == "train").alias("train"),
@@ -58,57 +40,53 @@ def split_counts(rows: DataFrame, suffix: str) -> DataFrame:
     return _long(counts, "splits", names)
 
 
-def _table_figures(rows: DataFrame, *more) -> DataFrame:
-    """One row: row count, rows per split, rows with a mis-decoded text, and what is asked for besides."""
-    texts = [name for name, kind in rows.dtypes if kind == "string"]
-    marked = has_mojibake(F.concat_ws("\n", *texts))
-    return with_split(rows).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col("split") == name).alias(name) for name in SPLITS],
-        F.count_if(marked).alias("marked"),
-        *more,
-    )
-
-
-def dataset_stats(
-    raw: Mapping[str, DataFrame],
-    features: DataFrame,
-    comments: DataFrame,
-    trust_scores: DataFrame,
-    serving: DataFrame,
-) -> DataFrame:
-    """(section, metric, value) rows over raw inputs and built tables, one aggregate for each table."""
-    parts: list[DataFrame] = []
-    parts += raw_table_stats(raw["youtube_channels"], "channel_id", "youtube_channels", False)
-    parts += raw_table_stats(raw["youtube_videos"], "video_id", "youtube_videos", True)
-    parts += raw_table_stats(raw["tiktok_creators"], "creator_id", "tiktok_creators", False)
-    parts += raw_table_stats(raw["tiktok_videos"], "content_id", "tiktok_videos", True)
-    parts.append(_long(raw["youtube_comments"].agg(F.count(F.lit(1)).alias("n")), "raw", {"n": "youtube_comments"}))
-    of_features = _table_figures(
-        features,
-        F.count_if(F.col("platform") == "youtube").alias("youtube"),
-        F.count_if(F.col("platform") == "tiktok").alias("tiktok"),
-        F.count_if(F.col("is_suspicious") == 1).alias("flagged"),
-    )
-    of_comments = _table_figures(comments)
-    texts = [name for name, kind in serving.dtypes if kind == "string"]
-    of_serving = serving.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("views") <= 0).alias("zero"),
-        F.count_if(has_mojibake(F.concat_ws("\n", *texts))).alias("marked"),
-    )
-    wide = [
-        (of_features, [("unified", "feature_rows", "n"), ("unified", "youtube_rows", "youtube"), ("unified", "tiktok_rows", "tiktok"),
-                       ("unified", "suspicious_rows", "flagged"), ("quality", _MARKED, "marked"), *[("splits", f"{name}_rows", name) for name in SPLITS]]),
-        (of_comments, [("comments", "sentiment_rows", "n"), ("quality", _MARKED, "marked"), *[("splits", f"{name}_comment_rows", name) for name in SPLITS]]),
-        (of_serving, [("sample", "serving_events", "n"), ("sample", "zero_view_rows", "zero"), ("quality", _MARKED, "marked")]),
-    ]
-    for figures, named in wide:
-        pairs = [F.struct(F.lit(section).alias("section"), F.lit(metric).alias("metric"), F.col(column).cast("bigint").alias("value")) for section, metric, column in named]
-        parts.append(figures.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*"))
-    parts.append(_long(trust_scores.agg(F.count(F.lit(1)).alias("n")), "features", {"n": "trust_score_rows"}))
-    stats = parts[0]
-    for part in parts[1:]:
-        stats = stats.unionByName(part)
-    # Rows with a marker are reported for all output tables together.
-    return stats.groupBy("section", "metric").agg(F.sum("value").alias("value"))
+class BuildFigures:
+    """The build statistics, measured on rows as they pass on their way into the build's tables.
+
+    Every `watch` hangs one observation into a plan: its sums are ready when the write that runs the
+    plan has ended, and no table is read for them. `rows` must come after all watched writes.
+    """
+
+    def __init__(self) -> None:
+        self._seen: list[tuple[Observation, list[tuple[str, str]]]] = []
+
+    def watch(self, df: DataFrame, figures: Mapping[tuple[str, str], Column]) -> DataFrame:
+        """`figures`: (section, metric) -> aggregate over the rows of `df`."""
+        seen = Observation()
+        self._seen.append((seen, list(figures)))
+        return df.observe(seen, *[F.coalesce(value, F.lit(0)).cast("bigint").alias(f"m{k}") for k, value in enumerate(figures.values())])
+
+    def raw(self, table: str, with_views: bool = False) -> Callable[[DataFrame], DataFrame]:
+        """For the groups of `dedupe_latest`: raw rows, repeats and (for content) ids removed for lack of views."""
+        figures = {
+            ("raw", table): F.sum("_rows"),
+            ("quality", f"duplicate_{table}_removed"): F.sum(F.greatest(F.col("_own") - 1, F.lit(0))),
+        }
+        if with_views:
+            figures["quality", f"removed_zero_view_{table}"] = F.count_if((F.col("_own") > 0) & (F.col("_kept") == 0))
+        return lambda groups: self.watch(groups, figures)
+
+    def output(self, section: str, metric: str, marked: bool = True, more: Mapping[tuple[str, str], Column] | None = None) -> Callable[[DataFrame], DataFrame]:
+        """For rows that are written: their number, those with a marker of a wrong decoding, and `more`."""
+
+        def seen(rows: DataFrame) -> DataFrame:
+            figures = {(section, metric): F.count(F.lit(1)), **(more or {})}
+            texts = [name for name, kind in rows.dtypes if kind == "string"]
+            if marked:
+                figures["quality", _MARKED] = F.count_if(has_mojibake(F.concat_ws("\n", *texts)))
+            return self.watch(rows, figures)
+
+        return seen
+
+    @staticmethod
+    def splits(suffix: str) -> dict[tuple[str, str], Column]:
+        split = split_name(F.col("platform"), F.col("creator_id"))
+        return {("splits", f"{name}_{suffix}"): F.count_if(split == name) for name in SPLITS}
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """(section, metric, value): a fixed list of a few dozen numbers; a metric of several tables is their sum."""
+        totals: dict[tuple[str, str], int] = {}
+        for seen, names in self._seen:
+            for k, name in enumerate(names):
+                totals[name] = totals.get(name, 0) + seen.get[f"m{k}"]
+        return spark.createDataFrame([(*name, value) for name, value in totals.items()], "section string, metric string, value bigint")

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import cached_property
+from functools import cached_property, partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..operators import bronze, gold, quality, silver, stats
@@ -106,13 +106,23 @@ def build_dataset(spark: SparkSession, raw: Mapping[str, DataFrame], out: str, a
 
 
 def _build(spark: SparkSession, raw: Mapping[str, DataFrame], out: str, anonymize: bool) -> DataFrame:
-    tables = Tables(raw, anonymize)
-    writers.write_table(tables.youtube_channels, f"{out}/bronze/youtube/channels", schemas.YOUTUBE_CHANNEL_COLUMNS)
+    seen = stats.BuildFigures()
     keep = "first_seq"
-    writers.write_table(tables.youtube_videos, f"{out}/bronze/youtube/videos", [*schemas.YOUTUBE_VIDEO_COLUMNS, keep])
-    writers.write_table(tables.tiktok_creators, f"{out}/bronze/tiktok/creators", schemas.TIKTOK_CREATOR_COLUMNS)
-    writers.write_table(tables.tiktok_videos, f"{out}/bronze/tiktok/videos", [*schemas.TIKTOK_VIDEO_COLUMNS, keep])
-    writers.write_table(tables.comments, f"{out}/silver/comments/sentiment", schemas.COMMENT_SENTIMENT_COLUMNS)
+    comments = seen.watch(raw["youtube_comments"], {("raw", "youtube_comments"): F.count(F.lit(1))})
+    bronze_tables = [
+        ("youtube", "channels", schemas.YOUTUBE_CHANNEL_COLUMNS, bronze.build_youtube_channels(raw["youtube_channels"], raw["youtube_channel_seeds"], seen.raw("youtube_channels"))),
+        ("youtube", "videos", [*schemas.YOUTUBE_VIDEO_COLUMNS, keep], bronze.build_youtube_videos(raw["youtube_videos"], seen.raw("youtube_videos", True))),
+        ("tiktok", "creators", schemas.TIKTOK_CREATOR_COLUMNS, bronze.build_tiktok_creators(raw["tiktok_creators"], raw["tiktok_videos"], seen.raw("tiktok_creators"))),
+        ("tiktok", "videos", [*schemas.TIKTOK_VIDEO_COLUMNS, keep], bronze.build_tiktok_videos(raw["tiktok_videos"], seen.raw("tiktok_videos", True))),
+    ]
+    writes = [
+        partial(writers.write_table, rows, f"{out}/bronze/{platform}/{name}", columns, watch=seen.output("clean", f"{platform}_{name}"))
+        for platform, name, columns, rows in bronze_tables
+    ]
+    of_comments = seen.output("comments", "sentiment_rows", more=seen.splits("comment_rows"))
+    rows = silver.comment_sentiment_rows(comments, anonymize)
+    writes.append(partial(writers.write_table, rows, f"{out}/silver/comments/sentiment", schemas.COMMENT_SENTIMENT_COLUMNS, watch=of_comments))
+    writers.together(spark, *writes)
 
     def written(relative: str) -> DataFrame:
         return spark.read.format(MANIFEST[relative]).load(f"{out}/{relative}")
@@ -123,37 +133,38 @@ def _build(spark: SparkSession, raw: Mapping[str, DataFrame], out: str, anonymiz
         written("bronze/tiktok/creators"),
         written("bronze/tiktok/videos"),
     )
-    writers.write_table(features, f"{out}/silver/unified/features", [*schemas.UNIFIED_FEATURE_COLUMNS, keep])
+    of_features = {
+        ("unified", "youtube_rows"): F.count_if(F.col("platform") == "youtube"),
+        ("unified", "tiktok_rows"): F.count_if(F.col("platform") == "tiktok"),
+        ("unified", "suspicious_rows"): F.count_if(F.col("is_suspicious") == 1),
+    }
+    writers.write_table(
+        features,
+        f"{out}/silver/unified/features",
+        [*schemas.UNIFIED_FEATURE_COLUMNS, keep],
+        watch=seen.output("unified", "feature_rows", more={**of_features, **seen.splits("rows")}),
+    )
 
     features = written("silver/unified/features")
     comments = written("silver/comments/sentiment")
-    writers.write_table(
-        gold.with_split(features), f"{out}/silver/unified/splits", schemas.UNIFIED_FEATURE_COLUMNS, partition_by=["split"]
-    )
-    writers.write_table(
-        gold.with_split(comments), f"{out}/silver/comments/splits", schemas.COMMENT_SENTIMENT_COLUMNS, partition_by=["split"]
-    )
+    events = {("sample", "zero_view_rows"): F.count_if(F.col("views") <= 0)}
     profiles = gold.creator_profiles(gold.split_rows(features)["analysis_profile"])
-    writers.write_table(
-        gold.profiles_by_size(profiles), f"{out}/silver/profiles/creators", schemas.CREATOR_PROFILE_COLUMNS
+    table, counted = partial(partial, writers.write_table), partial(seen.output, marked=False)
+    writers.together(
+        spark,
+        table(gold.with_split(features), f"{out}/silver/unified/splits", schemas.UNIFIED_FEATURE_COLUMNS, partition_by=["split"]),
+        table(gold.with_split(comments), f"{out}/silver/comments/splits", schemas.COMMENT_SENTIMENT_COLUMNS, partition_by=["split"]),
+        table(gold.profiles_by_size(profiles), f"{out}/silver/profiles/creators", schemas.CREATOR_PROFILE_COLUMNS, watch=counted("splits", "profile_creators")),
+        table(gold.engagement_features(features), f"{out}/gold/features/engagement", schemas.ENGAGEMENT_FEATURE_COLUMNS, watch=counted("features", "engagement_rows")),
+        table(gold.suspicious_engagement(features), f"{out}/gold/features/suspicious", schemas.SUSPICIOUS_ENGAGEMENT_COLUMNS, watch=counted("features", "suspicious_rows")),
+        table(gold.creator_trust_scores(features), f"{out}/gold/features/trust_scores", schemas.TRUST_SCORE_COLUMNS, watch=counted("features", "trust_score_rows")),
+        partial(writers.write_jsonl, gold.serving_events(features), f"{out}/serving/events", watch=seen.output("sample", "serving_events", more=events)),
     )
-    writers.write_table(
-        gold.engagement_features(features), f"{out}/gold/features/engagement", schemas.ENGAGEMENT_FEATURE_COLUMNS
-    )
-    writers.write_table(
-        gold.suspicious_engagement(features), f"{out}/gold/features/suspicious", schemas.SUSPICIOUS_ENGAGEMENT_COLUMNS
-    )
-    writers.write_table(
-        gold.creator_trust_scores(features), f"{out}/gold/features/trust_scores", schemas.TRUST_SCORE_COLUMNS
-    )
-    writers.write_jsonl(gold.serving_events(features), f"{out}/serving/events")
 
-    counted = stats.dataset_stats(
-        raw, features, comments, written("gold/features/trust_scores"), written("serving/events")
-    )
-    writers.write_stats(counted, f"{out}/dataset_stats", label_notice="Rule-generated labels are not ground truth.")
+    figures = seen.rows(spark)
+    writers.write_stats(figures, f"{out}/dataset_stats", label_notice="Rule-generated labels are not ground truth.")
     writers.write_manifest(spark, MANIFEST, f"{out}/manifest")
-    return counted
+    return figures
 
 
 def validate_dataset(spark: SparkSession, out: str) -> DataFrame:

@@ -21,7 +21,7 @@ from ..sources import given, readers, splits, topic
 from ..streaming import recent, sinks
 from ..streaming.scoring import score_stream
 from . import api, scoring
-from .build import Tables
+from .build import Tables, build_dataset
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -697,7 +697,7 @@ def json_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as JSON lines, one file for each remainder of the key; urgent ones are cut short, others have a text for a date."""
     path = scratch_path(spark, "lines")
-    whole = F.to_json(F.struct("o_orderkey", "o_orderstatus", F.when(F.col("o_shippriority") == 0, F.col("o_orderdate").cast("date")).alias("day")))
+    whole = F.to_json(F.struct("o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("day")))
     line = F.when(F.col("o_orderpriority") == "1-URGENT", F.substring(whole, 1, 20)).when(F.col("o_orderpriority") == "5-LOW", F.lit('{"day": "soon"}')).otherwise(whole)
     rows = given.table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 16).alias("part"), "o_orderkey", line.alias("value"))
     rows.repartition("part").sortWithinPartitions("part", "o_orderkey").select("part", "value").write.partitionBy("part").text(path)
@@ -794,10 +794,8 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dataset_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _tables(spark, sf_dir)
-    scores = gold.creator_totals(tables.content)
-    features = tables.features
-    return stats.dataset_stats(tables.raw, features, tables.comments, scores, gold.serving_events(features))
+    """The whole build, measured while it writes its tables."""
+    return build_dataset(spark, given.raw_tables(spark, sf_dir), scratch_path(spark, "dataset"))
 
 
 # --- models -------------------------------------------------------------------------------

@@ -798,7 +798,7 @@ QUERIES: dict[str, str] = {
             SELECT 'youtube_channels' AS t, count(*) + count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS raw_rows,
                    count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS dup, count(*) AS clean, NULL::BIGINT AS removed
             FROM customer WHERE c_custkey % 2 = 0
-            UNION ALL SELECT 'tiktok_creators', count(*), 0, count(*) FILTER (WHERE c_mktsegment <> 'FURNITURE'), NULL
+            UNION ALL SELECT 'tiktok_creators', count(*), 0, count(*), NULL
             FROM customer WHERE c_custkey % 2 <> 0
             UNION ALL SELECT platform || '_videos', count(*), count(*) - count(DISTINCT o_orderkey),
                    count(DISTINCT o_orderkey) FILTER (WHERE view_count > 0),
@@ -815,6 +815,9 @@ QUERIES: dict[str, str] = {
         UNION ALL SELECT 'unified', 'tiktok_rows', count(*) FROM unified WHERE platform = 'tiktok'
         UNION ALL SELECT 'unified', 'suspicious_rows', count(*) FROM unified WHERE is_suspicious = 1
         UNION ALL SELECT 'features', 'trust_score_rows', count(*) FROM totals
+        UNION ALL SELECT 'features', 'engagement_rows', count(*) FROM unified
+        UNION ALL SELECT 'features', 'suspicious_rows', count(*) FROM unified
+        UNION ALL SELECT 'splits', 'profile_creators', count(*) FROM totals WHERE {split_name('platform', 'creator_id')} = 'analysis_profile'
         UNION ALL SELECT 'sample', 'serving_events', count(*) FROM unified
         UNION ALL SELECT 'sample', 'zero_view_rows', 0
         UNION ALL SELECT 'quality', 'possible_mojibake_output_rows', 0

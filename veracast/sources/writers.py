@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import repair_mojibake
@@ -23,8 +25,15 @@ def cleaned(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return df.select(chosen)
 
 
-def write_table(df: DataFrame, path: str, columns: Sequence[str], fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    writer = cleaned(df, [*columns, *[name for name in partition_by if name not in columns]]).write.mode("overwrite")
+Watch = Callable[[DataFrame], DataFrame]
+
+
+def write_table(
+    df: DataFrame, path: str, columns: Sequence[str], fmt: str = "parquet", partition_by: Sequence[str] = (), watch: Watch | None = None
+) -> None:
+    """`watch` may measure the rows as they are written."""
+    rows = cleaned(df, [*columns, *[name for name in partition_by if name not in columns]])
+    writer = (watch(rows) if watch else rows).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if fmt == "csv":
@@ -32,9 +41,18 @@ def write_table(df: DataFrame, path: str, columns: Sequence[str], fmt: str = "pa
     writer.format(fmt).save(path)
 
 
-def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
+def write_jsonl(df: DataFrame, path: str, append: bool = False, watch: Watch | None = None) -> None:
     """Compact JSON lines; NULL fields are written, so that every row has every key."""
-    cleaned(df).write.mode("append" if append else "overwrite").option("ignoreNullFields", False).json(path)
+    rows = cleaned(df)
+    (watch(rows) if watch else rows).write.mode("append" if append else "overwrite").option("ignoreNullFields", False).json(path)
+
+
+def together(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Writes that do not depend on each other, at the same time: the tasks of one fill the cores that the last
+    tasks of another leave idle. The first error is raised when all have ended."""
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]:
+            done.result()
 
 
 def write_stats(stats: DataFrame, path: str, **notes: str) -> None:
