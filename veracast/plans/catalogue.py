@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
@@ -13,11 +14,12 @@ from ..functions.numeric import half_up, safe_int, to_float
 from ..functions.sentiment import unit_label, with_unit_sentiment
 from ..functions.text import category_of_mask, extract_hashtags, hash_pii, has_mojibake, repair_mojibake
 from ..functions.timeparse import iso_utc, normalize_timestamp, parse_timestamp
+from ..ml import formula, store
 from ..ml import sentiment as sentiment_ml
 from ..ml import trust as trust_ml
 from ..operators import api_items, bronze, dashboard, gold, keyed, live, quality, silver, stats
 from ..session import scratch_path
-from ..sources import given, readers, splits, topic
+from ..sources import given, readers, splits, topic, writers
 from ..streaming import recent, sinks
 from ..streaming.scoring import score_stream
 from . import api, scoring
@@ -693,6 +695,55 @@ def json_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("video_id", *[safe_int(F.col(name)).alias(name) for name in ("view_count", "like_count", "comment_count")])
 
 
+@query
+def table_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers written as a table and as JSON lines with broken letters repaired, published below another folder, and read there."""
+    root, target = scratch_path(spark, "written"), scratch_path(spark, "published")
+    name = given.broken_letters(F.concat(F.lit("Café "), "s_name"))
+    rows = given.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("key"), name.alias("name"), F.col("s_nationkey").alias("nation"))
+    writers.write_table(rows, f"{root}/rows", ["key", "name", "missing"], partition_by=["nation"])
+    writers.write_jsonl(rows, f"{root}/lines")
+    writers.publish_dataset(spark, root, target, {"rows": "parquet", "lines": "json"})
+    table = spark.read.parquet(f"{target}/rows").select(F.lit("rows").alias("form"), "key", "name", "nation", F.col("missing").isNull().alias("bare"))
+    lines = readers.read_jsonl(spark, f"{target}/lines", "key long, name string, nation long")
+    return table.unionByName(lines.select(F.lit("lines").alias("form"), "*", F.lit(True).alias("bare")))
+
+
+@query
+def seed_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as lines of a seed list, with comments, blanks, and names that come again."""
+    path = scratch_path(spark, "seeds")
+    key = F.col("c_custkey")
+    line = F.when(key % 10 == 0, F.concat(F.lit("# "), key.cast("string"))).when(key % 10 == 1, F.lit("  "))
+    name = F.concat(F.lit(" @creator"), (key % 700).cast("string"), F.lit(" "))
+    given.table(spark, sf_dir, "customer").select(F.coalesce(line, name).alias("value")).write.text(path)
+    return readers.read_seed_list(spark, path, strip="@").select("value")
+
+
+@query
+def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as JSON documents: one array, one object with `records` or one single object a file, by the file's number."""
+    path = scratch_path(spark, "records")
+    rows = given.table(spark, sf_dir, "part").select((F.col("p_partkey") / 200).cast("long").alias("file"), F.struct(F.col("p_partkey").alias("key"), F.col("p_name").alias("name")).alias("r"))
+    # A file holds 200 parts at most.
+    files = rows.groupBy("file").agg(F.sort_array(F.collect_list("r")).alias("records"))
+    several = F.when(F.col("file") % 3 == 0, F.to_json("records")).otherwise(F.to_json(F.struct("records")))
+    value = F.when(F.col("file") % 3 == 2, F.to_json(F.element_at("records", 1))).otherwise(several)
+    files.select("file", value.alias("value")).write.partitionBy("file").text(path)
+    return readers.read_json_records(spark, path, "key long, name string")
+
+
+@query
+def api_short_video_creators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return api_items.normalize_tiktok_creators(given.short_creator_items(spark, sf_dir))
+
+
+@query
+def api_short_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = api_items.normalize_tiktok_videos(given.short_video_items(spark, sf_dir))
+    return rows.withColumn("hashtags", F.array_join("hashtags", ","))
+
+
 @query
 def json_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as JSON lines, one file for each remainder of the key; urgent ones are cut short, others have a text for a date."""
@@ -808,6 +859,53 @@ def train_eval_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trust_ml.evaluate_trust(model, splits["eval"])
 
 
+#: Given formulas take the place of a fit, so that every score is known beforehand.
+TRUST_FORMULA = (
+    "10 + least(follower_count / 100000D, 10D) + 20 * likes_per_view + 5 * comments_per_view + 5 * shares_per_view"
+    " + 0.3D * sentiment_score + 0.2D * activity_score + 2 * upload_frequency - 20 * is_suspicious + if(platform = 'youtube', 5, 0)"
+)
+SENTIMENT_FORMULA = {
+    "positive": "(1 + regexp_count(plain, 'la|th')) / CAST(3 + regexp_count(plain, 'la|th|e') AS DOUBLE)",
+    "neutral": "1 / CAST(3 + regexp_count(plain, 'la|th|e') AS DOUBLE)",
+    "negative": "(1 + regexp_count(plain, 'la|th|e') - regexp_count(plain, 'la|th')) / CAST(3 + regexp_count(plain, 'la|th|e') AS DOUBLE)",
+}
+
+
+def _stored_model(spark: SparkSession, model: PipelineModel, kind: str) -> PipelineModel:
+    """The model after a way through its folder."""
+    path = scratch_path(spark, f"model-{kind}")
+    store.save_model(model, path, kind, "none", spark.createDataFrame([], "measure string, value double"))
+    return store.load_model(spark, path)[0]
+
+
+@query
+def predict_trust_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = given.stream_payloads(spark, sf_dir).drop("ts", "event_id")
+    predicted = scoring.predict_trust(events, trust_model=_stored_model(spark, formula.trust_formula(TRUST_FORMULA), "trust"))
+    return predicted.select("video_id", *[name for name in predicted.columns if name.startswith("pred_")])
+
+
+@query
+def predict_sentiment_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = given.comment_lines(spark, sf_dir).select("doc_id", "line", F.col("text").alias("comment"))
+    model = _stored_model(spark, formula.sentiment_formula(SENTIMENT_FORMULA), "sentiment")
+    return sentiment_ml.predict_sentiment(lines, model=model).drop("comment")
+
+
+@query
+def trust_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the trust model learns from; rows whose target is no number go."""
+    target = F.when(F.col("is_suspicious") == 0, F.col("trust_score").cast("string")).when(F.col("platform") == "tiktok", F.lit("n/a"))
+    return trust_ml.prepare(_features(spark, sf_dir).withColumn("trust_score", target)).drop("follower_growth_rate")
+
+
+@query
+def sentiment_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the sentiment model learns from, by creator: hashed and empty comments are refused."""
+    rows = _labelled_comments(spark, sf_dir).groupBy("platform", "creator_id", "label_name")
+    return rows.agg(F.count(F.lit(1)).alias("texts"), F.sum(F.length("text")).alias("letters"))
+
+
 def _labelled_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = silver.comment_sentiment_rows(given.youtube_comments(spark, sf_dir), anonymize=False)
     return sentiment_ml.labelled_texts(rows.where(F.col("sentiment_source") != "imported"))

@@ -18,6 +18,7 @@ from ..functions.sentiment import (
     UNIT_POSITIVE_WORDS,
 )
 from ..functions.text import CATEGORY_KEYWORDS, MOJIBAKE_MARKERS
+from ..schemas import TRUST_NUMERIC_FEATURES
 from ..sources.given import BROKEN_LETTERS, COLLECTED_AT, SECOND_CRAWL, WORD_SWAPS, misread
 
 LABEL = "'rule_generated_not_ground_truth'"
@@ -835,6 +836,52 @@ QUERIES: dict[str, str] = {
         SELECT o_orderkey::VARCHAR AS video_id, trunc(o_totalprice)::BIGINT AS view_count, floor(o_totalprice)::BIGINT AS like_count,
                0::BIGINT AS comment_count
         FROM orders""",
+    "predict_trust_model": f"""
+        SELECT video_id, {half_up('raw', 2)} AS pred_trust_score, {trust_label('raw')} AS pred_trust_label,
+               'trained_model' AS pred_trust_source, {half_up('eng', 6)} AS pred_engagement_rate,
+               {half_up('sent', 6)} AS pred_sentiment_score, {half_up('pact', 6)} AS pred_activity_score,
+               {half_up('anom', 6)} AS pred_anomaly_score, anom >= 0.55e0 OR raw < 45 AS pred_is_suspicious
+        FROM (SELECT *, {clamp("10e0 + least(followers / 100000e0, 10e0) + 20 * per_view * likes + 5 * per_view * comments + 5 * per_view * shares"
+                               " + 0.3e0 * (sent * 100e0) + 0.2e0 * (pact * 100e0) + 2 * uploads - CASE WHEN anom >= 0.55e0 THEN 20 ELSE 0 END"
+                               " + CASE WHEN platform = 'youtube' THEN 5 ELSE 0 END", '0e0', '100e0')} AS raw
+              FROM (SELECT *, CASE WHEN views > 0 THEN 1e0 / views ELSE 0e0 END AS per_view,
+                           {clamp(clamp('CASE WHEN uploads = 0 THEN 2e0 ELSE uploads END / 7e0') + ' * 0.75e0 + '
+                                  + clamp('log10(viewers + 1e0) / 5e0') + ' * 0.25e0')} AS pact FROM anomalies))""",
+    "predict_sentiment_model": f"""
+        SELECT doc_id, line, CASE WHEN s >= 0.65e0 THEN 'positive' WHEN s <= 0.35e0 THEN 'negative' ELSE 'neutral' END AS pred_sentiment_label,
+               {half_up('s', 6)} AS pred_sentiment_score, CASE WHEN text = '' THEN 'rule_fallback' ELSE 'trained_model' END AS pred_sentiment_source
+        FROM (SELECT *, CASE WHEN text = '' THEN 0.5e0 ELSE {clamp('((n - good + 1) * 0.15e0 + 0.5e0 + (1 + good) * 0.85e0) / (3 + n)')} END AS s
+              FROM (SELECT *, len(regexp_extract_all(strip_accents(lower(text)), 'la|th')) AS good,
+                           len(regexp_extract_all(strip_accents(lower(text)), 'la|th|e')) AS n FROM lines))""",
+    "trust_training_rows": f"""
+        SELECT platform, trust_score AS target, {', '.join(f'{name}::DOUBLE AS {name}' for name in TRUST_NUMERIC_FEATURES if name != 'follower_growth_rate')}
+        FROM unified WHERE is_suspicious = 0""",
+    "sentiment_training_rows": """
+        SELECT 'youtube' AS platform, 'UC' || substr(source, 4) AS creator_id, label AS label_name, count(*) AS texts, sum(length(text))::BIGINT AS letters
+        FROM comment_rows WHERE trim(text) <> '' AND lang NOT IN ('de', 'es') GROUP BY ALL""",
+    "table_round_trip": """
+        SELECT form, s_suppkey AS key, 'Café ' || s_name AS name, s_nationkey AS nation, true AS bare
+        FROM supplier, (VALUES ('rows'), ('lines')) v(form)""",
+    "seed_list": "SELECT DISTINCT 'creator' || (c_custkey % 700) AS value FROM customer WHERE c_custkey % 10 > 1",
+    "json_records": """
+        SELECT p_partkey AS key, p_name AS name FROM part
+        QUALIFY (p_partkey // 200) % 3 <> 2 OR row_number() OVER (PARTITION BY p_partkey // 200 ORDER BY p_partkey) = 1""",
+    "api_short_video_creators": f"""
+        SELECT 'tiktok' AS platform, CASE WHEN c_mktsegment <> 'FURNITURE' THEN 'tk' ELSE 'asked' END || c_custkey AS creator_id,
+               CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_name ELSE 'u' || c_custkey END AS creator_name,
+               CASE WHEN c_mktsegment <> 'BUILDING' THEN 'u' ELSE 'asked' END || c_custkey AS username, c_mktsegment AS category,
+               CASE WHEN c_custkey % 2 = 0 THEN c_custkey * 3 ELSE c_custkey * 5 END AS follower_count, c_custkey % 7 AS following_count,
+               c_custkey % 11 AS content_count, '{COLLECTED_AT}' AS collected_at
+        FROM customer""",
+    "api_short_videos": f"""
+        SELECT 'tiktok' AS platform, CASE WHEN o_orderkey % 3 <> 0 THEN 't' ELSE 'aweme' END || o_orderkey AS content_id,
+               CASE WHEN o_orderkey % 4 = 0 THEN 'c' ELSE 'a' END || o_custkey AS creator_id,
+               CASE WHEN o_orderkey % 2 = 0 THEN 'Nick ' ELSE 'u' END || o_custkey AS creator_name, 'u' || o_custkey AS username,
+               CASE WHEN o_orderkey % 5 <> 0 THEN 'clip ' || o_custkey || ' #go' ELSE '' END AS content_title, content_title AS caption,
+               lower(o_orderstatus) || CASE WHEN o_orderkey % 5 <> 0 THEN ',go' ELSE '' END AS hashtags, (o_orderkey * 10)::VARCHAR AS publish_time,
+               floor(o_totalprice)::BIGINT AS view_count, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE o_custkey END AS like_count,
+               0::BIGINT AS comment_count, 0::BIGINT AS share_count, '{COLLECTED_AT}' AS collected_at
+        FROM orders""",
     "json_bad_lines": """
         SELECT part, line, CASE WHEN o_orderpriority = '1-URGENT' THEN 'invalid JSON' ELSE 'does not fit the schema' END AS error,
                CASE WHEN o_orderpriority = '1-URGENT' THEN substr('{"o_orderkey":' || o_orderkey || ',"o_orderstatus":"', 1, 20) ELSE '{"day": "soon"}' END AS value

@@ -421,3 +421,34 @@ def stream_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )
+
+
+def short_creator_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as items of the short-video API: some without an id or a nickname, counts under either name."""
+    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
+    user = F.struct(
+        F.when(segment != "FURNITURE", _prefixed("tk", key)).alias("id"),
+        F.when(segment != "MACHINERY", F.col("c_name")).alias("nickname"),
+        F.when(segment != "BUILDING", _prefixed("u", key)).alias("uniqueId"),
+    )
+    counts = F.struct(F.when(key % 2 == 0, _text(key * 3)).alias("followerCount"), _text(key * 5).alias("followers"), _text(key % 7).alias("following"), _text(key % 11).alias("videoCount"))
+    return table(spark, sf_dir, "customer").select(
+        _prefixed("asked", key).alias("username"), segment.alias("category"), F.lit(COLLECTED_AT).alias("collected_at"), F.struct(user.alias("user"), counts.alias("stats")).alias("userInfo")
+    )
+
+
+def short_video_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as items of the short-video API: the asked creator wins over the author, tags come from three places."""
+    key, customer = F.col("o_orderkey"), F.col("o_custkey")
+    tag = F.concat(F.lit("#"), F.lower("o_orderstatus"))
+    return table(spark, sf_dir, "orders").select(
+        F.when(key % 3 != 0, _prefixed("t", key)).alias("id"),
+        _prefixed("aweme", key).alias("aweme_id"),
+        F.when(key % 5 != 0, F.concat(F.lit("clip "), _text(customer), F.lit(" #go"))).alias("desc"),
+        F.struct(F.when(key % 4 == 0, _prefixed("c", customer)).alias("creator_id"), F.lit("").alias("creator_name")).alias("creator"),
+        F.struct(_prefixed("a", customer).alias("uid"), F.when(key % 2 == 0, _prefixed("Nick ", customer)).alias("nickname"), _prefixed("u", customer).alias("uniqueId")).alias("author"),
+        F.struct(_text(F.floor("o_totalprice")).alias("playCount"), F.when(key % 2 == 0, _text(key)).alias("diggCount"), _text(customer).alias("likes"), F.lit("x").alias("commentCount")).alias("stats"),
+        F.array(F.struct(tag.alias("title"), F.lit(None).cast("string").alias("hashtagName"), F.lit(None).cast("string").alias("name"))).alias("challenges"),
+        _text(key * 10).alias("createTime"),
+        F.lit(COLLECTED_AT).alias("collected_at"),
+    )
