@@ -20,7 +20,7 @@ from ..ml import trust as trust_ml
 from ..operators import api_items, bronze, dashboard, gold, keyed, live, quality, silver, stats
 from ..session import scratch_path
 from ..sources import given, readers, splits, topic, writers
-from ..streaming import recent, sinks
+from ..streaming import compaction, recent, sinks
 from ..streaming.scoring import score_stream
 from . import api, scoring
 from .build import Tables, build_dataset
@@ -327,13 +327,13 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _score_view(score_stream(given.stream_records(spark, sf_dir)))
 
 
-def _run_stream(spark: SparkSession, records: DataFrame, files_per_batch: int) -> sinks.LakePaths:
+def _run_stream(spark: SparkSession, records: DataFrame, files_per_batch: int, compact_every: int | None = None) -> sinks.LakePaths:
     """Write the records where a file stream finds them and run the scoring job to the end."""
     root = scratch_path(spark, "stream")
     records.write.parquet(f"{root}/topic")
     paths = sinks.LakePaths(f"{root}/raw", f"{root}/processed", f"{root}/serving", f"{root}/keyed")
     scored = score_stream(topic.file_source(spark, f"{root}/topic", files_per_batch))
-    sinks.start_scoring(scored, paths, f"{root}/checkpoint", available_now=True).awaitTermination()
+    sinks.start_scoring(scored, paths, f"{root}/checkpoint", available_now=True, compact_every=compact_every).awaitTermination()
     return paths
 
 
@@ -359,6 +359,18 @@ def stream_lake_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted[0].unionByName(counted[1]).unionByName(counted[2])
 
 
+@query
+def stream_lake_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per event date after six batches, packed before every second one."""
+    paths = _run_stream(spark, given.stream_records(spark, sf_dir).repartitionByRange(6, "offset"), 1, compact_every=2)
+    counted = [
+        compaction.read_lake(spark, path, fmt).groupBy(F.col("event_date").cast("string").alias("event_date")).agg(F.count(F.lit(1)).alias("lake_rows"))
+        .select(F.lit(name).alias("lake"), "event_date", "lake_rows")
+        for name, fmt, path in (("raw", "json", paths.raw), ("processed", "parquet", paths.processed), ("serving", "parquet", paths.serving))
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 @query
 def stream_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event times cut to the day, so that keys repeat: the last record of a key stays."""

@@ -623,6 +623,9 @@ QUERIES: dict[str, str] = {
     "stream_lake_layout": """
         SELECT lake, strftime(ts, '%Y-%m-%d') AS event_date, count(*) AS lake_rows
         FROM events, (VALUES ('raw'), ('processed'), ('serving')) v(lake) GROUP BY 1, 2""",
+    "stream_lake_compacted": """
+        SELECT lake, strftime(ts, '%Y-%m-%d') AS event_date, count(*) AS lake_rows
+        FROM events, (VALUES ('raw'), ('processed'), ('serving')) v(lake) GROUP BY 1, 2""",
     "stream_upsert_latest": f"""
         SELECT {SCORE_ROW.replace('event_time', "strftime(date_trunc('day', ts), '%Y-%m-%d 00:00:00.000000') AS event_time")}
         FROM scores QUALIFY row_number() OVER (PARTITION BY kol_id, date_trunc('day', ts) ORDER BY event_id DESC) = 1""",

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..schemas import RAW_LAKE_COLUMNS, SERVING_COLUMNS
+from .compaction import compact_lake
 
 
 #: Batches between two folds of the keyed table.
@@ -107,13 +108,17 @@ def fold_keyed(spark: SparkSession, path: str, before: int) -> None:
     replace_closed(folded, path, ["event_date", "batch_id"], closed)
 
 
-def write_batch(paths: LakePaths, fold_every: int = FOLD_EVERY):
+def write_batch(paths: LakePaths, fold_every: int = FOLD_EVERY, compact_every: int | None = None):
     """The `foreachBatch` function: four writes of one cached batch; empty batches write nothing.
-    Before every `fold_every`-th batch the closed batches of the keyed table are folded."""
+    Before every `fold_every`-th batch the closed batches of the keyed table are folded, before every
+    `compact_every`-th those of the lake tables are packed, which are then read by `compaction.read_lake`."""
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         if batch_df.isEmpty():
             return
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            for path, fmt in ((paths.raw, "json"), (paths.processed, "parquet"), (paths.serving, "parquet")):
+                compact_lake(batch_df.sparkSession, path, batch_id, fmt)
         if paths.keyed and batch_id and batch_id % fold_every == 0:
             fold_keyed(batch_df.sparkSession, paths.keyed, batch_id)
         batch = batch_df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).persist()
@@ -129,9 +134,11 @@ def write_batch(paths: LakePaths, fold_every: int = FOLD_EVERY):
     return write
 
 
-def start_scoring(scored: DataFrame, paths: LakePaths, checkpoint: str, available_now: bool = False, fold_every: int = FOLD_EVERY):
+def start_scoring(
+    scored: DataFrame, paths: LakePaths, checkpoint: str, available_now: bool = False, fold_every: int = FOLD_EVERY, compact_every: int | None = None
+):
     writer: DataStreamWriter = (
-        scored.writeStream.foreachBatch(write_batch(paths, fold_every))
+        scored.writeStream.foreachBatch(write_batch(paths, fold_every, compact_every))
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
