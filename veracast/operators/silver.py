@@ -212,15 +212,19 @@ def creator_sizes(tiktok_creators: DataFrame) -> DataFrame:
 def unified_features(
     youtube_videos: DataFrame, youtube_comments: DataFrame, tiktok_creators: DataFrame, tiktok_videos: DataFrame
 ) -> DataFrame:
-    """One row per content of either platform: the 28 contract columns and `first_seq`.
+    """One row per content of either platform: the 28 contract columns and `first_seq`."""
+    content = cut_lineage(content_features(youtube_videos, youtube_comments, tiktok_videos))
+    return with_creators(content, creator_sizes(tiktok_creators))
+
+
+def with_creators(content: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Content with the columns that come from its creator. `content` is read twice, so it should be a stored table.
 
     What comes from the creator (sizes, upload frequency) is gathered into one row per creator,
     stored, and attached in a single join; creators without sizes count 0.
     """
     keys = ["platform", "creator_id"]
-    frequency = upload_frequency(publish_times(youtube_videos, tiktok_videos))
-    per_creator = cut_lineage(frequency.join(creator_sizes(tiktok_creators), keys, "left"))
-    content = content_features(youtube_videos, youtube_comments, tiktok_videos)
+    per_creator = cut_lineage(upload_frequency(content).join(sizes, keys, "left"))
     attached = attach_per_key(
         content, per_creator.drop("_weight"), keys, ["content_id"], weights=per_creator.select(*keys, "_weight")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas
 from ..operators import bronze, gold, quality, silver, stats
+from ..session import cut_lineage
 from ..sources import readers, writers
 
 
@@ -48,11 +49,19 @@ class Tables:
     def sizes(self) -> DataFrame:
         return silver.creator_sizes(self.tiktok_creators)
 
+    @cached_property
+    def stored_content(self) -> DataFrame:
+        """The content features for those that read them more than once."""
+        return cut_lineage(self.content)
+
     @cached_property
     def features(self) -> DataFrame:
-        return silver.unified_features(
-            self.youtube_videos, self.raw["youtube_comments"], self.tiktok_creators, self.tiktok_videos
-        )
+        return silver.with_creators(self.stored_content, self.sizes)
+
+    @cached_property
+    def leaderboard(self) -> DataFrame:
+        """Creator trust scores; from the stored content if that is there already."""
+        return gold.creator_trust_scores(self.__dict__.get("stored_content", self.content), self.sizes)
 
 
 RAW_FILES = {

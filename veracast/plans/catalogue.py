@@ -51,8 +51,7 @@ def creator_trust_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _tables(spark, sf_dir)
-    return gold.creator_trust_scores(tables.content, tables.sizes)
+    return _tables(spark, sf_dir).leaderboard
 
 
 @query
@@ -472,8 +471,9 @@ def creator_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def directory_from_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The creators while the scored store is still empty."""
     nothing = _scores(spark, sf_dir).where(F.lit(False))
-    features = _features(spark, sf_dir)
-    scores = api.available_scores(nothing, _leaderboard(spark, sf_dir), gold.serving_events(features))
+    tables = _tables(spark, sf_dir)
+    events = gold.serving_events(tables.features)
+    scores = api.available_scores(nothing, tables.leaderboard, events)
     return api.directory_by_reputation(api.creator_directory(scores))
 
 
@@ -547,8 +547,8 @@ def export_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def export_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = _features(spark, sf_dir)
-    whole = api.export_bundle(features, _leaderboard(spark, sf_dir), 500)
+    tables = _tables(spark, sf_dir)
+    whole = api.export_bundle(tables.features, tables.leaderboard, 500)
     sizes = [F.size(name).alias(f"{name}_rows") for name in ("features", "trust_scores", "events")]
 
     def total(part: str, field: str):
