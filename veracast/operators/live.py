@@ -63,10 +63,16 @@ def _measured(stats: DataFrame, sessions: DataFrame) -> DataFrame:
     )
 
 
+def _known(sessions: DataFrame, *names: str) -> list[str]:
+    """What a session says about itself beside its totals, as far as it does."""
+    return [name for name in names if name in sessions.columns]
+
+
 def live_metrics(stats: DataFrame, sessions: DataFrame) -> DataFrame:
     return _measured(stats, sessions).select(
         "live_id",
         "kol_id",
+        *_known(sessions, "title", "started_at"),
         "viewers",
         "likes",
         "shares",
@@ -87,6 +93,7 @@ def live_model_features(stats: DataFrame, sessions: DataFrame) -> DataFrame:
         "kol_id",
         F.col("name").alias("kol_name"),
         "platform",
+        *_known(sessions, "category"),
         "followers",
         "verified",
         F.col("reputation_score").alias("profile_reputation_score"),

@@ -567,7 +567,8 @@ def evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stamp_text(df: DataFrame) -> DataFrame:
-    return df.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    moments = [name for name in ("started_at", "timestamp") if name in df.columns]
+    return df.withColumns({name: F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS") for name in moments})
 
 
 @query

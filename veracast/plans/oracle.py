@@ -285,13 +285,13 @@ CTES: dict[str, str] = {
     "sessions": """
         SELECT t.*, c.c_name AS name, CASE WHEN c.c_custkey % 2 = 0 THEN 'youtube' ELSE 'tiktok' END AS platform,
                floor(abs(c.c_acctbal))::BIGINT AS followers, p.reputation_score, p.risk_profile, p.verified,
-               'live_' || t.kol_id AS live_id
+               'live_' || t.kol_id AS live_id, lower(c.c_mktsegment) AS category, 'Live with ' || c.c_name AS title
         FROM (SELECT kol_id, count(*) FILTER (WHERE event_type = 'view') AS viewers,
                      count(*) FILTER (WHERE event_type = 'like') AS likes,
                      count(*) FILTER (WHERE event_type = 'comment') AS comments,
                      count(*) FILTER (WHERE event_type = 'follower') AS shares,
                      count(*) FILTER (WHERE event_type = 'purchase') AS purchases,
-                     strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS timestamp
+                     strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') AS started_at, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS timestamp
               FROM live GROUP BY kol_id) t
         JOIN id_profiles p USING (kol_id) JOIN customer c ON c.c_custkey = p.c_custkey""",
     "measured": f"""
@@ -303,7 +303,7 @@ CTES: dict[str, str] = {
                      metric_suspicious / greatest(metric_events, 1)::DOUBLE + (1e0 - reputation_score) * 0.28e0 AS risk
               FROM sessions JOIN live_stats USING (kol_id))""",
     "live_features": f"""
-        SELECT kol_id, name AS kol_name, platform, followers, verified, reputation_score AS profile_reputation_score,
+        SELECT kol_id, name AS kol_name, platform, category, followers, verified, reputation_score AS profile_reputation_score,
                risk_profile AS profile_risk_label, live_id, viewers AS viewer_count, likes AS like_count,
                shares AS share_count, comments AS comment_count, purchases AS purchase_count,
                engagement AS engagement_rate, {half_up('sentiment', 4)} AS sentiment_score, bot AS bot_probability,
@@ -729,7 +729,7 @@ QUERIES: dict[str, str] = {
                (SELECT sum(like_count) FROM (SELECT * FROM unified {IN_ORDER} LIMIT 500))::BIGINT AS events_likes""",
     "evaluate": f"{FEATURE_SCORE} {IN_ORDER} LIMIT 500",
     "live_metrics": f"""
-        SELECT live_id, kol_id, viewers, likes, shares, comments, purchases, engagement AS engagement_rate,
+        SELECT live_id, kol_id, title, started_at, viewers, likes, shares, comments, purchases, engagement AS engagement_rate,
                {half_up('sentiment', 4)} AS sentiment_score, bot AS bot_probability, risk > 0.28e0 AS suspicious_spike,
                signal AS trust_signal, timestamp
         FROM measured""",

@@ -26,9 +26,14 @@ def build_session(app_name: str = "veracast", master: str | None = None, **conf:
 
 def shared_dir(spark: SparkSession) -> str:
     """The reliable folder the cluster names in `spark.checkpoint.dir`; where it names none, a folder
-    in the warehouse, which every executor reaches as well."""
+    in the warehouse. A warehouse on a machine's own disk serves a local session only."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if named:
+        return named
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share: the warehouse is on a local disk")
+    return f"{warehouse.rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -364,6 +364,8 @@ def live_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_name").alias("name"),
         F.when(F.col("c_custkey") % 2 == 0, "youtube").otherwise("tiktok").alias("platform"),
         F.floor(F.abs("c_acctbal")).alias("followers"),
+        F.lower("c_mktsegment").alias("category"),
+        F.concat(F.lit("Live with "), "c_name").alias("title"),
     )
     sessions = totals.join(profiles, "kol_id", "left")
     return sessions.withColumn("_p", identity_profile(F.col("kol_id"))).select(
