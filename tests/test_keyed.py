@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from veracast.operators import keyed
+from veracast.operators import keyed, stats
 
 
 def test_dedupe_latest(spark):
@@ -52,3 +52,29 @@ def test_plans(spark):
     assert plan.count("Partial") >= 1 and "WindowGroupLimit" in plan
     plan = keyed.dedupe_latest(rows.withColumn("seq", F.col("t")), "k")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "partial_max_by" in plan
+
+
+def test_newest_rows_are_cut_before_they_move(spark):
+    """A hot key leaves every input partition with n rows at most."""
+    rows = spark.range(20000).select((F.col("id") % 1000 == 0).cast("int").alias("k"), F.col("id").alias("t")).repartition(6)
+    newest = keyed.last_n(rows, ["k"], [F.desc("t")], 7)
+    assert sorted((r.k, r.t, r.recency) for r in newest.collect()) == sorted(
+        (k, t, n) for k, own in ((0, range(19999, 19992, -1)), (1, range(19000, 12000, -1000))) for n, t in enumerate(own, 1)
+    )
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    first = plan[plan.rindex("Exchange hashpartitioning(k"):]
+    assert "WindowGroupLimit" in first and "Partial" in first
+
+
+def test_observed_groups_of_a_deduplication(spark):
+    """What the groups show does not change which rows stay."""
+    data = [("a", 1, 5), ("a", 2, 0), ("b", 3, 0), (None, 4, 9), ("", 5, 9), ("c", 6, 1), ("c", 7, 2)]
+    rows = spark.createDataFrame(data, "id string, seq int, views int").repartition(3)
+    kept = F.col("views") > 0
+    plain = keyed.dedupe_latest(rows, "id", kept=kept)
+    figures = stats.BuildFigures()
+    seen = keyed.dedupe_latest(rows, "id", kept=kept, watch=figures.raw("videos", True))
+    expected = [("a", 1, 5, 1), ("c", 7, 2, 6)]
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, seen.collect())) == expected
+    measured = {(r.section, r.metric): r.value for r in figures.rows(spark).collect()}
+    assert measured == {("raw", "videos"): 7, ("quality", "duplicate_videos_removed"): 2, ("quality", "removed_zero_view_videos"): 1}

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from veracast.ml import sentiment, store, trust
+from veracast.ml import formula, sentiment, store, trust
 from veracast.plans import scoring
 from veracast.schemas import TRUST_NUMERIC_FEATURES
 
@@ -49,3 +49,23 @@ def test_trust_model(spark):
     events = spark.createDataFrame([("a", 100, 5)], "kol_id string, views int, likes int")
     row = scoring.score_events(events, trust_model=model).first()
     assert row["trust_source"] == "trained_model" and 0 <= row["trust_score"] <= 100
+
+
+def test_models_by_formula(spark, tmp_path):
+    """They are saved, loaded and applied as trained models are."""
+    folder = str(tmp_path / "trust")
+    none = spark.createDataFrame([], "measure string, value double")
+    store.save_model(formula.trust_formula("1.0 * view_count + if(platform = 'tiktok', 5, 0)"), folder, "trust", "none", none)
+    model, notes = store.load_model(spark, folder)
+    events = spark.createDataFrame([("a", "tiktok", 40), ("b", None, 500), ("c", None, None)], "kol_id string, platform string, views int")
+    rows = {r["kol_id"]: (r["trust_score"], r["trust_source"]) for r in scoring.score_events(events, trust_model=model).collect()}
+    assert rows == {"a": (45.0, "trained_model"), "b": (100.0, "trained_model"), "c": (0.0, "trained_model")} and notes["kind"] == "trust"
+    empty = scoring.score_events(events, trust_model=formula.trust_formula("NULL")).collect()
+    assert {r["trust_source"] for r in empty} == {"rule_fallback"}
+    chances = {"positive": "if(plain LIKE '%tot%', 1, 0)", "neutral": "if(plain LIKE '%tot%', 0, 1)", "negative": "0"}
+    texts = spark.createDataFrame([("Tốt",), ("x",), ("",), (None,)], "comment string")
+    scored = sentiment.predict_sentiment(texts, model=formula.sentiment_formula(chances)).collect()
+    assert [(r["pred_sentiment_label"], r["pred_sentiment_score"], r["pred_sentiment_source"]) for r in scored] == [
+        ("positive", 0.85, "trained_model"), ("neutral", 0.5, "trained_model"), ("neutral", 0.5, "rule_fallback"), ("neutral", 0.5, "rule_fallback")]
+    predicted = sentiment.predict_labels(texts.withColumnRenamed("comment", "text"), formula.sentiment_formula(chances)).collect()
+    assert [r["predicted"] for r in predicted][:2] == ["positive", "neutral"]
