@@ -101,4 +101,4 @@ def test_automata_unite_compose_and_share_states():
     square = automaton({(x, y, z): 5 for x in (b"a", b"b", b"c") for y in (b"a", b"b") for z in (b"p", b"q")})
     assert len(square.first) - 1 == 4
     back = phrase_automata.from_batch(phrase_automata.pa.RecordBatch.from_arrays(phrase_automata.to_arrays([a, b]), phrase_automata.NAMES))
-    assert [weights(x, 4) for x in back] == [some, more]
+    assert [weights(x, 4) for x in list(back)] == [some, more]

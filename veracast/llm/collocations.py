@@ -8,19 +8,20 @@ from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import phrase_automata as automata
-from .common import byte_list, partition_stage, stored
+from .common import byte_list, partition_stage, returning_memory, stored
 from .phrase_automata import Automaton, Walk
-from .word_hash import mixed, owners, sequences
+from .word_hash import mixed, sequences
 
 #: Words of the longest phrase.
 LONGEST = 4
 #: Distinct phrases that a shard gathers before it builds its automata from them.
-RUN_ROWS = 1_500_000
+RUN_ROWS = 400_000
 #: Bits of the table that tells frequent phrases from most others; the bound of what is broadcast.
 FILTER_BITS = 26
 #: Documents from which the borders of the ranges come, and paths from each.
@@ -32,7 +33,20 @@ Path = tuple[bytes, ...]
 
 def pieces_of(texts: Iterable[bytes]) -> list[list[bytes]]:
     """Words of every piece of the texts."""
-    return [p.split(b" ") if b"  " not in p and not p.startswith(b" ") and not p.endswith(b" ") else [w for w in p.split(b" ") if w] for p in b"\n".join(texts).translate(_CLEAN).split(b"\n") if p]
+    # All white space of ASCII is a space or a line break by now, so a plain split parts words at spaces only.
+    return [words for p in b"\n".join(texts).translate(_CLEAN).split(b"\n") if (words := p.split())]
+
+
+def cut(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words, the place there of every word of all pieces, and the number of words of each piece."""
+    whole = pa.array([b"\n".join(texts).translate(_CLEAN)], pa.binary())
+    pieces = pc.split_pattern(pc.split_pattern(whole, b"\n").flatten(), b" ")
+    words = pieces.flatten()
+    real = pc.not_equal(words, b"")  # two spaces in a row have an empty word between them
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    sizes = np.diff(before[pieces.offsets.to_numpy()]).astype(np.int32)
+    known = words.filter(real).dictionary_encode()
+    return known.dictionary, known.indices.to_numpy().astype(np.int32), sizes[sizes > 0]
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
@@ -65,27 +79,26 @@ class Run:
         self.counts: list[np.ndarray] = []
         self.rows = 0
 
-    def add(self, lang: bytes, texts: list[bytes]) -> None:
-        pieces = [p for p in pieces_of(texts) if len(p) >= self.n]
-        begins = np.concatenate([[0], np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))])
-        flat = list(chain.from_iterable(pieces))
-        words = list(set(flat))
-        index = dict(zip(words, range(len(words))))
-        ids = np.fromiter(map(index.__getitem__, flat), np.int64, len(flat))
-        at = np.arange(max(len(ids) - self.n + 1, 0))
-        if self.n > 1 and len(at):
-            shorter = self.passing.has(phrase_hashes(word_hashes(words)[ids], self.n - 1, lang))
-            owner = owners(begins)
-            at = at[shorter[at] & shorter[at + 1] & (owner[at] == owner[at + self.n - 1])]
-        if not len(at):
+    def add(self, lang: bytes, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Pieces of `sizes` words each, the words by their places in `words`."""
+        if self.n == 1:
+            counts = np.bincount(ids, minlength=len(words))
+            paths = np.arange(len(words))[:, None]
+        else:
+            at = np.arange(max(len(ids) - self.n + 1, 0))
+            if len(at):
+                shorter = self.passing.has(phrase_hashes(word_hashes(words)[ids], self.n - 1, lang))
+                owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+                at = at[shorter[at] & shorter[at + 1] & (owner[at] == owner[at + self.n - 1])]
+            code = automata.order_codes([ids[at + k] for k in range(self.n)], len(words))
+            _, place, counts = np.unique(code, return_index=True, return_counts=True)
+            paths = ids[at[place][:, None] + np.arange(self.n)]
+        if not len(paths):
             return
-        code = automata.order_codes(ids[at[:, None] + np.arange(self.n)], len(words))
-        _, place, counts = np.unique(code, return_index=True, return_counts=True)
-        paths = ids[at[place][:, None] + np.arange(self.n)]
         used = np.unique(paths)
-        label = np.zeros(len(words), np.int64)
+        label = np.zeros(len(words), np.int32)
         label[used] = [self.labels.setdefault(words[k], len(self.labels)) for k in used.tolist()]
-        first = np.full((len(paths), 1), self.labels.setdefault(lang, len(self.labels)))
+        first = np.full((len(paths), 1), self.labels.setdefault(lang, len(self.labels)), np.int32)
         self.paths.append(np.concatenate([first, label[paths]], axis=1))
         self.counts.append(counts)
         self.rows += len(paths)
@@ -94,7 +107,7 @@ class Run:
         """The sorted phrases as one automaton for each range, and the run begins anew."""
         if self.rows:
             words = sorted(self.labels)
-            rank = np.zeros(len(words), np.int64)
+            rank = np.zeros(len(words), np.int32)
             rank[[self.labels[w] for w in words]] = np.arange(len(words))
             paths, counts = automata.summed(rank[np.concatenate(self.paths)], np.concatenate(self.counts), len(words))
             cut = [0, *(first_from(paths, words, b) for b in self.borders), len(paths)]
@@ -145,25 +158,39 @@ def borders_of(docs: DataFrame, ranges: int) -> list[Path]:
     return sorted({known[k * len(known) // ranges] for k in range(1, ranges)}) if known else []
 
 
-def shards(docs: DataFrame, n: int, borders: list[Path], passing: Filter | None) -> DataFrame:
-    """Automata of the phrases of n words of every input partition, by range."""
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast((borders, passing.bits if passing else None))  # both of bounded size
+def encoded(docs: DataFrame) -> DataFrame:
+    """lang, words, ids, sizes: texts of one language cut into words once, some megabytes a row. `words` are the distinct
+    ones by line breaks, `ids` their places there for all pieces in a row, `sizes` the words of each piece (32-bit numbers)."""
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, texts in by_language(batch):
+                words, ids, sizes = cut(texts)
+                columns = [pa.array([x], pa.binary()) for x in (lang, b"\n".join(words.to_pylist()), ids.tobytes(), sizes.tobytes())]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "words", "ids", "sizes"])
+
+    return stored(partition_stage(docs, encode, "lang binary, words binary, ids binary, sizes binary"), "phrase-words")
+
+
+def shards(words: DataFrame, n: int, borders: list[Path], passing: Filter | None) -> DataFrame:
+    """Automata of the phrases of n words of every partition of `encoded` texts, by range."""
+    sent = words.sparkSession.sparkContext.broadcast((borders, passing.bits if passing else None))  # both of bounded size
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, bits = sent.value
         run = Run(n, cut, Filter(bits) if bits is not None else None)
         for batch in batches:
-            for lang, texts in by_language(batch):
-                run.add(lang, texts)
+            for k in range(batch.num_rows):
+                lang, known, ids, sizes = (batch.column(c)[k].as_py() for c in ("lang", "words", "ids", "sizes"))
+                run.add(lang, known.split(b"\n"), np.frombuffer(ids, np.int32), np.frombuffer(sizes, np.int32))
                 if run.rows >= RUN_ROWS:
                     yield from run.built()
         yield from run.built()
 
-    return partition_stage(docs, build, SCHEMA)
+    return partition_stage(words, build, SCHEMA)
 
 
-def by_language(batch: pa.RecordBatch, size: int = 8 << 20) -> Iterator[tuple[bytes, list[bytes]]]:
+def by_language(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[tuple[bytes, list[bytes]]]:
     """Texts of one language, some megabytes at a time."""
     held: dict[bytes, list[bytes]] = {}
     sizes: dict[bytes, int] = {}
@@ -190,7 +217,7 @@ def range_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterato
         yield number, ((asker, a) for _, asker, a in own)
 
 
-def union_of(own: Iterable[Automaton], most: int = 1 << 21) -> automata.Trie:
+def union_of(own: Iterable[Automaton], most: int = 1 << 19) -> automata.Trie:
     """The union of any number of automata, some at a time."""
     waiting: list[Automaton] = []
     size = 0
@@ -311,7 +338,7 @@ def scored(own: DataFrame, answers: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kind) for k, kind in enumerate(kinds)], ["lang", "phrase", "size", "a", "l", "r", "score"])
 
     rows = partition_stage(by_range(own.unionByName(answers)), score, "lang binary, phrase binary, size int, a long, l long, r long, score long")
-    return rows.withColumn("lang", F.col("lang").cast("string")).withColumn("phrase", F.col("phrase").cast("string"))
+    return rows.withColumn("lang", F.unhex(F.col("lang").cast("string")).cast("string")).withColumn("phrase", F.col("phrase").cast("string"))
 
 
 def undominated(candidates: DataFrame, percent: int) -> DataFrame:
@@ -353,19 +380,23 @@ def collocations(docs: DataFrame, least: int = 30, percent: int = 80, limit: int
 
     Phrases of n words are counted after those of n - 1: a phrase can only be frequent if both shorter
     ones inside it are, which a table of bits of fixed size tells (what slips through is counted and then dropped).
-    Every input partition builds automata of its sorted phrases, cut by prefix ranges; a range unites them.
+    Texts are cut into words once. Every partition builds automata of its sorted phrases, cut by prefix ranges; a range unites them.
     """
-    clean = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    returning_memory(docs.sparkSession)
+    # As hexadecimal digits a language has no line break, whatever it is.
+    lang = F.hex(F.coalesce(F.col("lang").cast("string"), F.lit("und")).cast("binary"))
+    clean = docs.select(lang.alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     borders = borders_of(clean, ranges or 2 * partitions(docs.sparkSession))
+    words = encoded(clean)
     found: DataFrame | None = None
     passing: Filter | None = None
     for n in range(1, LONGEST + 1):
-        now = frequent(shards(clean, n, borders, passing), n, least)
+        now = frequent(shards(words, n, borders, passing), n, least)
         found = now if found is None else found.unionByName(now)
         passing = filter_of(now, n) if n < LONGEST else None
     asked = part_requests(found, borders)
     rows = stored(scored(asked.filter("asker < 0"), part_counts(asked)), "phrase-scores")
-    words = rows.filter("phrase IS NULL").groupBy("lang").agg(F.sum("a").alias("n"))
+    totals = rows.filter("phrase IS NULL").groupBy("lang").agg(F.sum("a").alias("n"))
     kept = undominated(rows.filter("phrase IS NOT NULL"), percent)
     first = first_of_each(kept, limit, partitions(docs.sparkSession))
-    return first.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return first.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

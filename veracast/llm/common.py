@@ -60,6 +60,12 @@ def _workers_find_package(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
 
 
+def returning_memory(spark: SparkSession) -> None:
+    """Workers started from now on give large freed arrays back to the system at once instead of keeping
+    them for later: for operators whose stages need much memory one after the other."""
+    spark.sparkContext.environment.update({"MALLOC_MMAP_THRESHOLD_": str(1 << 20), "ARROW_DEFAULT_MEMORY_POOL": "system"})
+
+
 def partition_stage(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
     """`work` on the batches of each partition."""
     _workers_find_package(df.sparkSession)

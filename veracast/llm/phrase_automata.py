@@ -7,13 +7,16 @@ All work goes layer by layer in arrays: paths are a few words long, however many
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-#: An automaton as columns of a table.
-COLUMNS = "words array<binary>, first array<int>, label array<int>, weight array<long>, target array<int>"
+#: An automaton as columns of a table: words by line breaks, which none has, and the numbers' own bytes.
+COLUMNS = "words binary, first binary, label binary, weight binary, target binary"
+_KINDS = (np.int32, np.int32, np.int64, np.int32)
 
 
 class Layer(NamedTuple):
@@ -32,17 +35,17 @@ class Trie(NamedTuple):
 class Automaton(NamedTuple):
     """Transitions of state s are those from first[s] to first[s + 1], labels rising. State 0 has none, the last is the start."""
 
-    words: list[bytes]
+    words: list[bytes] | pa.Array  # as they come from a table, words stay there
     first: np.ndarray
     label: np.ndarray
     weight: np.ndarray
     target: np.ndarray
 
 
-def order_codes(paths: np.ndarray, labels: int) -> np.ndarray:
-    """One number for each row, in the order of the rows, equal only for equal rows."""
-    code, bound = paths[:, 0].astype(np.int64), max(labels, 1)
-    for column in paths.T[1:]:
+def order_codes(columns: Sequence[np.ndarray], labels: int) -> np.ndarray:
+    """One number for each row of these columns, in the order of the rows, equal only for equal rows."""
+    code, bound = columns[0].astype(np.int64), max(labels, 1)
+    for column in columns[1:]:
         if bound > (1 << 62) // max(labels, 1):
             code = np.unique(code, return_inverse=True)[1].astype(np.int64)
             bound = len(code)
@@ -55,7 +58,7 @@ def summed(paths: np.ndarray, counts: np.ndarray, labels: int) -> tuple[np.ndarr
     """Distinct rows in order, with the sums of their counts."""
     if not len(paths):
         return paths, counts
-    code = order_codes(paths, labels)
+    code = order_codes(paths.T, labels)
     order = np.argsort(code, kind="stable")
     code = code[order]
     begin = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
@@ -127,13 +130,19 @@ def _spread(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def united(automata: list[Automaton]) -> Trie:
     """The union: all automata are walked at once, equal paths meet in one node and their weights add up."""
-    words = sorted(set().union(*(a.words for a in automata)))
-    place = {w: k for k, w in enumerate(words)}
+    listed = [a.words if isinstance(a.words, pa.Array) else pa.array(a.words, pa.binary()) for a in automata]
+    met = pa.concat_arrays(listed or [pa.array([], pa.binary())]).dictionary_encode()
+    order = pc.array_sort_indices(met.dictionary)
+    words = met.dictionary.take(order).to_pylist()
+    rank = np.empty(len(words), np.int32)
+    rank[order.to_numpy()] = np.arange(len(words), dtype=np.int32)
+    place = rank[met.indices.to_numpy()]
+    begins = np.cumsum([0] + [len(w) for w in listed])
     states = np.cumsum([0] + [len(a.first) - 1 for a in automata])
     moves = np.cumsum([0] + [len(a.label) for a in automata])
     first = np.concatenate([a.first[:-1] + m for a, m in zip(automata, moves)] or [np.zeros(0, np.int64)])
     size = np.concatenate([np.diff(a.first) for a in automata] or [np.zeros(0, np.int64)])
-    label = np.concatenate([np.array([place[w] for w in a.words], np.int64)[a.label] if len(a.label) else np.zeros(0, np.int64) for a in automata] or [np.zeros(0, np.int64)])
+    label = np.concatenate([place[b:][a.label] for a, b in zip(automata, begins)] or [np.zeros(0, np.int32)])
     weight = np.concatenate([a.weight for a in automata] or [np.zeros(0, np.int64)])
     target = np.concatenate([a.target + s for a, s in zip(automata, states)] or [np.zeros(0, np.int64)])
     node, state = np.zeros(len(automata), np.int64), states[1:] - 1
@@ -183,7 +192,8 @@ class Walk:
 
     def __init__(self, automaton: Automaton):
         self.automaton = automaton
-        self.place = {w: k for k, w in enumerate(automaton.words)}
+        words = automaton.words.to_pylist() if isinstance(automaton.words, pa.Array) else automaton.words
+        self.place = {w: k for k, w in enumerate(words)}
         self.labels = max(len(automaton.words), 1)
         self.keys = np.repeat(np.arange(len(automaton.first) - 1), np.diff(automaton.first)) * self.labels + automaton.label
 
@@ -225,24 +235,17 @@ def only_used(words: list[bytes], paths: np.ndarray) -> tuple[list[bytes], np.nd
     return [words[k] for k in used.tolist()], own.reshape(paths.shape)
 
 
-def to_arrays(automata: list[Automaton]) -> list[pa.Array]:
-    def lists(column: int, kind: pa.DataType) -> pa.Array:
-        offsets = np.cumsum([0] + [len(a[column]) for a in automata])
-        values = np.concatenate([a[column] for a in automata]) if automata else np.zeros(0, np.int64)
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values.astype(kind.to_pandas_dtype()), kind))
-
-    words = pa.array([a.words for a in automata], pa.list_(pa.binary()))
-    return [words, lists(1, pa.int32()), lists(2, pa.int32()), lists(3, pa.int64()), lists(4, pa.int32())]
+NAMES = ["words", "first", "label", "weight", "target"]
 
 
-NAMES = ["words", "first", "label", "weight", "target"]
+def to_arrays(automata: list[Automaton]) -> list[pa.Array]:
+    words = pa.array([b"\n".join(a.words) for a in automata], pa.binary())
+    return [words, *(pa.array([a[k].astype(kind).tobytes() for a in automata], pa.binary()) for k, kind in enumerate(_KINDS, 1))]
 
 
-def from_batch(batch: pa.RecordBatch) -> list[Automaton]:
-    words = batch.column("words").to_pylist()
-    numbers = []
-    for name in NAMES[1:]:
-        column = batch.column(name)
-        flat, offsets = column.values.to_numpy(zero_copy_only=False).astype(np.int64), column.offsets.to_numpy()
-        numbers.append([flat[a:b] for a, b in zip(offsets[:-1], offsets[1:])])
-    return [Automaton(w, *own) for w, *own in zip(words, *numbers)]
+def from_batch(batch: pa.RecordBatch) -> Iterator[Automaton]:
+    """The automata of a batch, one at a time; their words stay in Arrow."""
+    words, *numbers = (batch.column(name) for name in NAMES)
+    for k in range(batch.num_rows):
+        listed = pc.split_pattern(words.slice(k, 1), b"\n").flatten()
+        yield Automaton(listed, *(np.frombuffer(column[k].as_buffer(), kind) for column, kind in zip(numbers, _KINDS)))
