@@ -21,7 +21,7 @@ MEASURES = ("precision", "recall", "f1")
 MIN_ROWS = 6
 MAX_ITERATIONS = 1000
 # The fit ends when ten iterations improve the loss by less than this share on average.
-TOLERANCE = 1e-4
+TOLERANCE = 1e-3
 SEED = 42
 TEST_SHARE = 0.25
 # Words and word pairs hashed to one space need no vocabulary on the driver, so none has to be dropped.
