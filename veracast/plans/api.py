@@ -264,8 +264,11 @@ def all_bundles(scores: DataFrame, limit: int = 100) -> DataFrame:
 
 
 def alerts(scores: DataFrame, limit: int = 20) -> DataFrame:
-    suspicious = _labelled(scores.where(F.col("is_suspicious")))
-    return suspicious.orderBy(F.desc("anomaly_score"), F.desc("event_ts"), "kol_id", "video_id").limit(limit)
+    """The first `limit` suspicious rows. They sort before all others, and what is not suspicious goes after the limit:
+    a filter ahead of it would be pushed below the scoring, where every use of a field parses the record anew."""
+    suspicious = F.coalesce("is_suspicious", F.lit(False))
+    first = _labelled(scores).orderBy(F.desc(suspicious), F.desc("anomaly_score"), F.desc("event_ts"), "kol_id", "video_id").limit(limit)
+    return first.where(suspicious)
 
 
 def in_input_order(rows: DataFrame) -> list[Column]:
