@@ -1,9 +1,14 @@
 """Plans whose work must not grow faster than their input."""
 
 import json
+import re
 
 from pyspark.sql import functions as F
 
+from veracast.functions import sentiment
+from veracast.functions.sentiment import with_comment_sentiment
+from veracast.ml import sentiment as sentiment_ml
+from veracast.operators import silver
 from veracast.plans import api
 from veracast.streaming.scoring import score_stream
 
@@ -25,3 +30,37 @@ def test_alerts_parse_each_record_once(spark):
     assert [row["kol_id"] for row in rows.collect()] == ["w2", "w1", "w0"]
     assert [row["kol_id"] for row in api.alerts(score_stream(event_records(spark, calm + wild)), 2).collect()] == ["w2", "w1"]
     assert plan_of(rows).count("from_json") == 1
+
+
+def comments(spark):
+    texts = ["không good clip", "good  great\u2009x", "not a b c bad", "ko a b bad P N X", "cảm ơn \u3000k\u1680tot", "", None, "qua hay; te, de thuong"]
+    rows = [("youtube", f"UC{n}", f"v{n}", text, n == 2, label, score, source)
+            for n, text in enumerate(texts)
+            for label, score, source in ((None, None, None), ("negative", 0.0, "imported"), ("positive", 80.0, "own"), (None, 1.0, "imported"), ("neutral", 1.0, None))]
+    table = spark.createDataFrame(
+        rows, "platform string, channel_id string, video_id string, comment_text string, comment_text_is_hashed boolean, comment_sentiment string, comment_sentiment_score double, comment_sentiment_source string"
+    )
+    more = ["comment_id", "parent_comment_id", "comment_author_display_name", "comment_author_channel_id", "comment_like_count", "comment_published_at", "collected_at"]
+    return table.withColumns({**{name: F.lit("1") for name in more}, "is_reply": F.lit(False)})
+
+
+def test_comments_are_scored_once_when_a_source_is_left_out(spark):
+    raw = comments(spark)
+    left = sentiment_ml.labelled_texts(silver.comment_sentiment_rows(silver.without_source(raw, "imported"), anonymize=False))
+    finished = silver.comment_sentiment_rows(raw, anonymize=False).where(F.col("sentiment_source") != "imported")
+    assert sorted(map(str, left.collect())) == sorted(map(str, sentiment_ml.labelled_texts(finished).collect()))
+    once = plan_of(silver.comment_sentiment_rows(raw, anonymize=False)).count("regexp")
+    assert plan_of(left).count("regexp") == once
+    rows = spark.createDataFrame([(row["comment_text"],) for row in raw.where("comment_sentiment IS NULL AND comment_sentiment_score IS NULL").select("comment_text").collect()], "text string")
+    scores = {row["text"]: row["s"] and row["s"]["score"] for row in with_comment_sentiment(rows, F.col("text")).collect()}
+    assert scores == {"không good clip": 30, "good  great\u2009x": 90, "not a b c bad": 30, "ko a b bad P N X": 70, "cảm ơn \u3000k\u1680tot": 50, "": 50, None: None, "qua hay; te, de thuong": 70}
+
+
+def test_the_guard_finds_every_blank_but_the_space():
+    def in_python(pattern):
+        return re.compile(re.sub(r"\\x\{([0-9a-f]+)\}", lambda code: chr(int(code[1], 16)), pattern), re.ASCII)
+
+    guard, blanks = in_python(sentiment.ODD_BLANK), in_python(sentiment.BLANKS)
+    letters = [chr(code) for code in range(0x110000) if not 0xD800 <= code < 0xE000]
+    assert [c for c in letters if blanks.match(c) and not guard.match(c)] == [" "]
+    assert not guard.search("Tiếng Việt cảm ơn 😀 “x”")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .numeric import clamp
@@ -37,13 +35,16 @@ MISSING_TEXT_SOURCE = "missing_comment_text_default_neutral"
 TOKEN = r"[\p{L}\p{N}_À-ỹ]+"
 BETWEEN_TOKENS = r"[^a-z0-9_À-ỹ\p{L}\p{N}]+"
 BLANKS = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-UNCOMMON = r"[^ -~À-ɏ]|  "
+# Control characters and every blank but the space: what the ranges leave out, common characters first.
+ODD_BLANK = (
+    r"[^ -~\x{a1}-\x{167f}\x{1681}-\x{1fff}\x{200b}-\x{2027}\x{202a}-\x{202e}\x{2030}-\x{205e}\x{2060}-\x{2fff}\x{3001}-\x{10ffff}]"
+)
 
 
 def one_blank(text: Column) -> Column:
-    """Every run of blanks as a single space. A quick look for other characters than common ones
-    and for double spaces spares most texts the slow search for all kinds of blanks."""
-    return F.when(text.rlike(UNCOMMON), F.regexp_replace(text, BLANKS, " ")).otherwise(text)
+    """Every run of blanks as a single space. A quick look for double spaces and for other blanks
+    than the space spares all other texts, accented ones too, the slow search for all kinds of blanks."""
+    return F.when(text.contains("  ") | text.rlike(ODD_BLANK), F.regexp_replace(text, BLANKS, " ")).otherwise(text)
 
 
 def fold_text(text: Column) -> Column:
@@ -71,23 +72,20 @@ def _phrase_hits(padded: Column, terms: tuple[str, ...]) -> Column:
     return hits
 
 
-def _any_of(terms: Sequence[str]) -> str:
-    """One alternative per first letter, so that a token is turned down after few comparisons."""
-    tails: dict[str, list[str]] = {}
-    for term in terms:
-        tails.setdefault(term[0], []).append(term[1:])
-    return "(?:" + "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in tails.items()) + ")"
+def _token_codes(folded: Column) -> Column:
+    """One letter per token: P positive, N negative, X negation, a dot for any other. Every token is looked
+    up in the sets of terms, which takes as long for many terms as for few."""
+    words = F.trim(F.regexp_replace(folded, BETWEEN_TOKENS, " "))
 
+    def code(token: Column) -> Column:
+        return (
+            F.when(token.isin(_single(POSITIVE_TERMS)), "P")
+            .when(token.isin(_single(NEGATIVE_TERMS)), "N")
+            .when(token.isin(list(NEGATION_TERMS)), "X")
+            .otherwise(".")
+        )
 
-def _token_codes(folded: Column) -> Column:
-    """One letter per token: P positive, N negative, X negation, a dot for any other. Words are
-    lower case here, so the capitals are free to serve as codes."""
-    positive, negative = _single(POSITIVE_TERMS), _single(NEGATIVE_TERMS)
-    words = F.concat(F.lit(" "), F.trim(F.regexp_replace(folded, BETWEEN_TOKENS, " ")), F.lit(" "))
-    coded = F.regexp_replace(words, f"(?<= )(?!{_any_of([*positive, *negative, *NEGATION_TERMS])} )[^ ]+", ".")
-    for terms, code in ((positive, "P"), (negative, "N"), (NEGATION_TERMS, "X")):
-        coded = F.regexp_replace(coded, f"(?<= ){_any_of(terms)}(?= )", code)
-    return F.replace(coded, F.lit(" "), F.lit(""))
+    return F.array_join(F.transform(F.split(words, " "), code), "")
 
 
 def _token_balance(codes: Column) -> Column:
@@ -104,21 +102,21 @@ def _token_balance(codes: Column) -> Column:
 
 def with_comment_sentiment(df: DataFrame, text: Column, output: str = "s") -> DataFrame:
     """Adds the struct `output` of label, 0-100 score and source. Blank text is neutral 50 and NULL
-    text gives NULL. The folded text and the score are columns of their own, so that each is
+    text gives NULL. The folded and the padded text and the score are columns of their own, so that each is
     made once per row."""
-    padded = F.concat(F.lit(" "), F.col("_folded"), F.lit(" "))
-    phrases = _phrase_hits(padded, POSITIVE_TERMS) - _phrase_hits(padded, NEGATIVE_TERMS)
+    phrases = _phrase_hits(F.col("_padded"), POSITIVE_TERMS) - _phrase_hits(F.col("_padded"), NEGATIVE_TERMS)
     raw = _token_balance(F.col("_codes")) + phrases
     score = F.greatest(F.lit(0), F.least(F.lit(100), F.lit(50) + raw * 20)).cast("double")
     # greatest and least pass over NULL, so text that is not there is kept out here.
     known = F.when(F.col("_folded").isNotNull(), score)
     folded = df.withColumn("_lowered", lower_fold(text)).withColumn("_folded", fold_text(F.col("_lowered")))
-    staged = folded.withColumn("_codes", _token_codes(F.col("_folded"))).withColumn("_score", known)
+    padded = F.concat(F.lit(" "), F.col("_folded"), F.lit(" "))
+    staged = folded.withColumns({"_codes": _token_codes(F.col("_folded")), "_padded": padded}).withColumn("_score", known)
     # Positive hits lift the score over 50 and negative ones push it below, so the score tells the label.
     parts = F.struct(
         score_label(F.col("_score")).alias("label"), F.col("_score").alias("score"), F.lit(RULE_SOURCE).alias("source")
     )
-    return staged.withColumn(output, F.when(F.col("_score").isNotNull(), parts)).drop("_lowered", "_folded", "_codes", "_score")
+    return staged.withColumn(output, F.when(F.col("_score").isNotNull(), parts)).drop("_lowered", "_folded", "_codes", "_padded", "_score")
 
 
 def score_label(score: Column) -> Column:

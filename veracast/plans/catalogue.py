@@ -920,8 +920,8 @@ def sentiment_training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _labelled_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = silver.comment_sentiment_rows(given.youtube_comments(spark, sf_dir), anonymize=False)
-    return sentiment_ml.labelled_texts(rows.where(F.col("sentiment_source") != "imported"))
+    comments = silver.without_source(given.youtube_comments(spark, sf_dir), "imported")
+    return sentiment_ml.labelled_texts(silver.comment_sentiment_rows(comments, anonymize=False))
 
 
 @query
