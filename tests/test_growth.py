@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from veracast.functions import sentiment
 from veracast.functions.sentiment import with_comment_sentiment
 from veracast.ml import sentiment as sentiment_ml
-from veracast.operators import silver
-from veracast.plans import api
+from veracast.operators import quality, silver
+from veracast.plans import api, catalogue
 from veracast.streaming.scoring import score_stream
 
 
@@ -64,3 +64,13 @@ def test_the_guard_finds_every_blank_but_the_space():
     letters = [chr(code) for code in range(0x110000) if not 0xD800 <= code < 0xE000]
     assert [c for c in letters if blanks.match(c) and not guard.match(c)] == [" "]
     assert not guard.search("Tiếng Việt cảm ơn 😀 “x”")
+
+
+def test_a_larger_topic_has_more_files_not_larger_ones(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(catalogue, "_run_stream", lambda spark, records, files, compact_every=None: seen.update(files=files, parts=records.rdd.getNumPartitions()))
+    monkeypatch.setattr(catalogue, "TOPIC_FILE_ROWS", 10)
+    catalogue._run_batches(spark, spark.range(100).withColumnRenamed("id", "offset"), 2, least_files=2)
+    assert seen == {"files": 5, "parts": 10}
+    catalogue._run_batches(spark, spark.range(10).withColumnRenamed("id", "offset"), 6, least_files=1)
+    assert seen == {"files": 1, "parts": 6}

@@ -326,6 +326,10 @@ def stream_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _score_view(score_stream(given.stream_records(spark, sf_dir)))
 
 
+#: Records in a file of the topic: what a task of a batch reads does not grow with the input, the number of files does.
+TOPIC_FILE_ROWS = 25_000
+
+
 def _run_stream(spark: SparkSession, records: DataFrame, files_per_batch: int, compact_every: int | None = None) -> sinks.LakePaths:
     """Write the records where a file stream finds them and run the scoring job to the end."""
     root = scratch_path(spark, "stream")
@@ -336,10 +340,15 @@ def _run_stream(spark: SparkSession, records: DataFrame, files_per_batch: int, c
     return paths
 
 
+def _run_batches(spark: SparkSession, records: DataFrame, batches: int, least_files: int, compact_every: int | None = None) -> sinks.LakePaths:
+    """The streamed run in so many batches of whole offset ranges, each in `least_files` files or as many as its records fill."""
+    files = max(least_files, -(-records.count() // (batches * TOPIC_FILE_ROWS)))
+    return _run_stream(spark, records.repartitionByRange(batches * files, "offset"), files, compact_every)
+
+
 @query
 def stream_scores_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = given.stream_records(spark, sf_dir).repartitionByRange(4, "offset")
-    paths = _run_stream(spark, records, 2)
+    paths = _run_batches(spark, given.stream_records(spark, sf_dir), 2, least_files=2)
     return _score_view(spark.read.parquet(paths.processed))
 
 
