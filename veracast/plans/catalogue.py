@@ -370,7 +370,7 @@ def stream_lake_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_lake_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per event date after six batches, packed before every second one."""
-    paths = _run_stream(spark, given.stream_records(spark, sf_dir).repartitionByRange(6, "offset"), 1, compact_every=2)
+    paths = _run_batches(spark, given.stream_records(spark, sf_dir), 6, least_files=1, compact_every=2)
     counted = [
         compaction.read_lake(spark, path, fmt).groupBy(F.col("event_date").cast("string").alias("event_date")).agg(F.count(F.lit(1)).alias("lake_rows"))
         .select(F.lit(name).alias("lake"), "event_date", "lake_rows")
