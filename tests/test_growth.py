@@ -74,3 +74,14 @@ def test_a_larger_topic_has_more_files_not_larger_ones(spark, monkeypatch):
     assert seen == {"files": 5, "parts": 10}
     catalogue._run_batches(spark, spark.range(10).withColumnRenamed("id", "offset"), 6, least_files=1)
     assert seen == {"files": 1, "parts": 6}
+
+
+def test_quality_report_takes_features_and_leaderboard_from_the_same_tables(spark, monkeypatch):
+    seen, row = [], quality.missing_report(spark, "x")
+    for name in ("_feature_report", "_trust_report"):
+        monkeypatch.setattr(catalogue, name, lambda tables: seen.append(tables) or row)
+    for name in ("quality_comments", "quality_raw_orders", "_event_lines"):
+        monkeypatch.setattr(catalogue, name, lambda spark, sf_dir: row)
+    monkeypatch.setattr(quality, "json_events_report", lambda lines: lines)
+    catalogue.quality_report(spark, "none")
+    assert len(seen) == 2 and seen[0] is seen[1]
