@@ -85,3 +85,14 @@ def test_quality_report_takes_features_and_leaderboard_from_the_same_tables(spar
     monkeypatch.setattr(quality, "json_events_report", lambda lines: lines)
     catalogue.quality_report(spark, "none")
     assert len(seen) == 2 and seen[0] is seen[1]
+
+
+def test_both_sides_of_the_sentiment_fit_come_from_one_stored_table(spark, monkeypatch):
+    seen = []
+    rows = spark.createDataFrame([("good", "positive"), ("bad", "negative")], "text string, label_name string")
+    monkeypatch.setattr(catalogue, "_labelled_comments", lambda spark, sf_dir: rows)
+    monkeypatch.setattr(sentiment_ml, "train_sentiment", lambda train: seen.append(train))
+    monkeypatch.setattr(sentiment_ml, "predict_labels", lambda test, model: seen.append(test))
+    monkeypatch.setattr(sentiment_ml, "classification_report", lambda rows: rows)
+    catalogue.train_eval_sentiment(spark, "none")
+    assert all("parquet" in plan_of(side) for side in seen) and sum(side.count() for side in seen) == 2
