@@ -5,11 +5,12 @@ import re
 
 from pyspark.sql import functions as F
 
-from veracast.functions import sentiment
+from veracast.functions import sentiment, text
 from veracast.functions.sentiment import with_comment_sentiment
 from veracast.ml import sentiment as sentiment_ml
 from veracast.operators import quality, silver
 from veracast.plans import api, catalogue
+from veracast.sources import writers
 from veracast.streaming.scoring import score_stream
 
 
@@ -96,3 +97,28 @@ def test_both_sides_of_the_sentiment_fit_come_from_one_stored_table(spark, monke
     monkeypatch.setattr(sentiment_ml, "classification_report", lambda rows: rows)
     catalogue.train_eval_sentiment(spark, "none")
     assert all("parquet" in plan_of(side) for side in seen) and sum(side.count() for side in seen) == 2
+
+
+def largest_method(df):
+    """Bytes of the largest method made for a plan; the JVM compiles none over 8,000."""
+    text = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    return max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", text)))
+
+
+def test_repair_of_a_wide_table_stays_small_enough_to_be_compiled(spark):
+    names = [f"t{n}" for n in range(20)]
+    wide = spark.range(3).select("id", *[F.col("id").cast("string").alias(name) for name in names])
+    assert 0 < largest_method(writers.cleaned(wide)) < 8000
+    assert 0 < largest_method(wide.select("id", *[text.has_mojibake(F.col(name)) for name in names[:8]])) < 4000
+
+
+def test_texts_of_a_row_are_repaired_together(spark):
+    rows = [("Tiáº¿ng", None, 1, "plain"), (None, None, 2, "đ"), ("Ã©", "Ã© đ", 3, "Ä\u0091"), ("", "Ã", None, " "), (None, "a", 4, "Ã  la")]
+    table = spark.createDataFrame(rows, "a string, b string, n int, c string")
+    got = writers.cleaned(table, ["c", "a", "missing", "n", "b"])
+    assert got.columns == ["c", "a", "missing", "n", "b"]
+    each = table.select(*[text.repair_mojibake(F.col(name)).alias(name) for name in ("c", "a")], F.lit(None).alias("missing"), "n", text.repair_mojibake(F.col("b")).alias("b"))
+    assert got.collect() == each.collect()
+    assert writers.cleaned(table.select("n")).collect() == table.select("n").collect()
+    shown = table.select([text.has_mojibake(F.col(name)) for name in ("a", "b", "c")]).collect()
+    assert [[any(m in (v or "") for m in text.MOJIBAKE_MARKERS) for v in (a, b, c)] for a, b, _, c in rows] == [list(row) for row in shown]

@@ -6,23 +6,32 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.text import repair_mojibake
+from ..functions.text import has_mojibake, repair_mojibake
 
 
 def cleaned(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """The contract columns with every text repaired; a column the input lacks is NULL."""
+    """The contract columns with every text repaired; a column the input lacks is NULL.
+
+    One look at all texts of a row tells whether any of them needs repair, and only then are they repaired. A repair
+    of its own in every column made the method for a wide table larger than the JVM compiles (8,000 bytes)."""
     kinds = dict(df.dtypes)
-    chosen = []
-    for name in columns or df.columns:
+    chosen = list(columns or df.columns)
+    texts = [name for name in chosen if kinds.get(name) == "string"]
+    if texts:
+        marked = has_mojibake(F.concat_ws("\n", *texts))
+        df = df.withColumn("_repaired", F.when(marked, F.transform(F.array(*texts), lambda text: repair_mojibake(text))))
+    repaired = F.col("_repaired")
+
+    def clean(name: str) -> Column:
         if name not in kinds:
-            chosen.append(F.lit(None).cast("string").alias(name))
-        elif kinds[name] == "string":
-            chosen.append(repair_mojibake(F.col(name)).alias(name))
-        else:
-            chosen.append(F.col(name))
-    return df.select(chosen)
+            return F.lit(None).cast("string").alias(name)
+        if kinds[name] != "string":
+            return F.col(name)
+        return F.when(repaired.isNull(), F.col(name)).otherwise(repaired[texts.index(name)]).alias(name)
+
+    return df.select([clean(name) for name in chosen])
 
 
 Watch = Callable[[DataFrame], DataFrame]
