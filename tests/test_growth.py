@@ -1,14 +1,17 @@
 """Plans whose work must not grow faster than their input."""
 
+import inspect
 import json
 import re
+from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
 from veracast.functions import sentiment, text
 from veracast.functions.sentiment import with_comment_sentiment
 from veracast.ml import sentiment as sentiment_ml
-from veracast.operators import quality, silver
+from veracast.ml import trust as trust_ml
+from veracast.operators import keyed, quality, silver
 from veracast.plans import api, catalogue
 from veracast.sources import writers
 from veracast.streaming.scoring import score_stream
@@ -122,3 +125,45 @@ def test_texts_of_a_row_are_repaired_together(spark):
     assert writers.cleaned(table.select("n")).collect() == table.select("n").collect()
     shown = table.select([text.has_mojibake(F.col(name)) for name in ("a", "b", "c")]).collect()
     assert [[any(m in (v or "") for m in text.MOJIBAKE_MARKERS) for v in (a, b, c)] for a, b, _, c in rows] == [list(row) for row in shown]
+
+
+def test_forest_rows_lie_beside_their_like(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(trust_ml, "cut_lineage", lambda df: seen.append(df) or df.limit(50))
+    numbers = [((F.col("id") * 7 + n) % 11).cast("double").alias(name) for n, name in enumerate(trust_ml.TRUST_NUMERIC_FEATURES)]
+    names = [F.when(F.col("id") % 2 == 0, "youtube").otherwise("tiktok").alias(name) for name in trust_ml.TRUST_CATEGORICAL_FEATURES]
+    trust_ml.train_trust(spark.range(400).select(*numbers, *names, (F.col("id") % 5).cast("double").alias("trust_score")), trees=1)
+    parts = seen[0].rdd.glom().collect()
+    keys = [[tuple(row[key] for key in ("platform", "sentiment_score", "engagement_rate", "activity_score")) for row in part] for part in parts]
+    assert sum(map(len, keys)) == 400 and all(part == sorted(part) for part in keys) and max(map(len, keys)) < 150
+
+
+def test_events_are_planned_only_when_their_turn_comes(spark):
+    rows, none = spark.range(2), spark.range(0)
+    asked = []
+    assert keyed.first_non_empty(none, rows, lambda: asked.append(1)).count() == 2 and not asked
+    assert keyed.first_non_empty(none, lambda: none, lambda: rows).count() == 2
+    assert keyed.first_non_empty(none, none).count() == 0
+    source = inspect.getsource(catalogue.directory_from_leaderboard)
+    assert "lambda: gold.serving_events(tables.features)" in source
+
+
+def test_first_features_join_only_their_own_rows_with_all_content_of_their_creators(spark, monkeypatch):
+    joined = []
+    attach = silver.attach_per_key
+    monkeypatch.setattr(silver, "attach_per_key", lambda rows, *more, **named: joined.append(rows.count()) or attach(rows, *more, **named))
+    rows = [("youtube" if n % 3 else "tiktok", f"c{n % 5}" if n % 7 else None, f"x{n}", f"2024-01-{n + 1:02d}", None if n % 2 else n, None, n) for n in range(25)]
+    content = spark.createDataFrame(rows, "platform string, creator_id string, content_id string, publish_time string, follower_count bigint, content_count bigint, first_seq bigint")
+    sizes = spark.createDataFrame([("tiktok", "c1", 50, 5), ("youtube", "c2", 60, 6)], "platform string, creator_id string, _followers bigint, _contents bigint")
+    monkeypatch.setattr(catalogue, "_tables", lambda spark, sf_dir: SimpleNamespace(stored_content=content, sizes=sizes))
+    whole = silver.with_creators(content, sizes)
+    first = catalogue._first_features(spark, "none", 7)
+    assert joined == [25, 7]
+    assert sorted(map(str, first.collect())) == sorted(map(str, api.export_features(whole, 7).collect()))
+
+
+def test_a_token_is_looked_up_once_unless_it_is_a_term(spark):
+    rows = spark.createDataFrame([(value,) for value in ("- not good!", "good", "...bad", "x, y; z", "", "no a b bad?")], "text string")
+    codes = rows.select(sentiment._token_codes(F.col("text")).alias("codes"))
+    assert [row["codes"].strip(".") for row in codes.collect()] == ["XP", "P", "N", "", "", "X..N"]
+    assert plan_of(codes).count("regexp_replace") == 0

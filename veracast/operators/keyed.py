@@ -155,9 +155,9 @@ def removed_ids(raw: DataFrame, clean: DataFrame, key: str) -> DataFrame:
     return raw.where(present(key)).select(key).distinct().join(clean.select(key).distinct(), key, "left_anti")
 
 
-def first_non_empty(*sources: DataFrame) -> DataFrame:
-    """The first source with a row, else the last one."""
-    for source in sources[:-1]:
-        if not source.isEmpty():
-            return source
-    return sources[-1]
+def first_non_empty(*sources: DataFrame | Callable[[], DataFrame]) -> DataFrame:
+    """The first source with a row, else the last one. A source given as a function is planned when its turn comes."""
+    for source in sources:
+        rows = source() if callable(source) else source
+        if source is sources[-1] or not rows.isEmpty():
+            return rows

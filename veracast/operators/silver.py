@@ -228,8 +228,9 @@ def unified_features(
     return with_creators(content, creator_sizes(tiktok_creators))
 
 
-def with_creators(content: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Content with the columns that come from its creator. `content` is read twice, so it should be a stored table.
+def with_creators(content: DataFrame, sizes: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """Content with the columns that come from its creator; all of it, or `rows` of it. `content` is read twice, so it
+    should be a stored table.
 
     What comes from the creator (sizes, upload frequency) is gathered into one row per creator,
     stored, and attached in a single join; creators without sizes count 0.
@@ -237,7 +238,7 @@ def with_creators(content: DataFrame, sizes: DataFrame) -> DataFrame:
     keys = ["platform", "creator_id"]
     per_creator = cut_lineage(upload_frequency(content).join(sizes, keys, "left"))
     attached = attach_per_key(
-        content, per_creator.drop("_weight"), keys, ["content_id"], weights=per_creator.select(*keys, "_weight")
+        content if rows is None else rows, per_creator.drop("_weight"), keys, ["content_id"], weights=per_creator.select(*keys, "_weight")
     )
     zero = F.lit(0).cast("bigint")
     return attached.withColumns(

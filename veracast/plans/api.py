@@ -6,7 +6,7 @@ report sizes; what they cut is always taken from the fully ranked or time-ordere
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, functions as F
@@ -39,15 +39,18 @@ def top_creators(scores: DataFrame, limit: int = 10) -> DataFrame:
     return latest_scores(scores, limit)
 
 
-def available_scores(scores: DataFrame, leaderboard: DataFrame, events: DataFrame) -> DataFrame:
-    """The first source that has rows: the scored store, else the leaderboard, else processed events.
-    All read queries of this module take the result."""
+def available_scores(scores: DataFrame, leaderboard: DataFrame, events: DataFrame | Callable[[], DataFrame]) -> DataFrame:
+    """The first source that has rows: the scored store, else the leaderboard, else processed events, which
+    a function may plan when they are needed. All read queries of this module take the result."""
     names = [name for name in SERVING_COLUMNS if name != "processed_at"]
 
     def served(rows: DataFrame) -> DataFrame:
         return rows.withColumn("event_ts", parse_timestamp(F.col("timestamp"))).select(*names)
 
-    return first_non_empty(scores.select(*names), served(scores_from_leaderboard(leaderboard)), served(scores_from_events(events)))
+    def from_events() -> DataFrame:
+        return served(scores_from_events(events() if callable(events) else events))
+
+    return first_non_empty(scores.select(*names), served(scores_from_leaderboard(leaderboard)), from_events)
 
 
 def creator_directory(scores: DataFrame) -> DataFrame:

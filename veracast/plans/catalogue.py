@@ -481,8 +481,7 @@ def directory_from_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The creators while the scored store is still empty."""
     nothing = _scores(spark, sf_dir).where(F.lit(False))
     tables = _tables(spark, sf_dir)
-    events = gold.serving_events(tables.features)
-    scores = api.available_scores(nothing, tables.leaderboard, events)
+    scores = api.available_scores(nothing, tables.leaderboard, lambda: gold.serving_events(tables.features))
     return api.directory_by_reputation(api.creator_directory(scores))
 
 
@@ -549,9 +548,16 @@ def creator_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row.select("kol_id", "profile.verified", "metrics.likes", F.size("recent_events").alias("recent_rows"), "model_features.trust_score")
 
 
+def _first_features(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame:
+    """Features of the first content rows: ranked among all rows, and then joined with their creators, of whom all
+    content counts."""
+    tables = _tables(spark, sf_dir)
+    return silver.with_creators(tables.stored_content, tables.sizes, api.export_features(tables.stored_content, limit))
+
+
 @query
 def export_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return api.export_features(_features(spark, sf_dir), 500).select(schemas.UNIFIED_FEATURE_COLUMNS)
+    return api.export_features(_first_features(spark, sf_dir, 500), 500).select(schemas.UNIFIED_FEATURE_COLUMNS)
 
 
 @query
@@ -569,7 +575,7 @@ def export_bundle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return api.evaluate(_features(spark, sf_dir), 500)
+    return api.evaluate(_first_features(spark, sf_dir, 500), 500)
 
 
 # --- live feed and dashboard --------------------------------------------------------------
