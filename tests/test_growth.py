@@ -1,6 +1,5 @@
 """Plans whose work must not grow faster than their input."""
 
-import inspect
 import json
 import re
 from types import SimpleNamespace
@@ -132,8 +131,15 @@ def test_events_are_planned_only_when_their_turn_comes(spark):
     assert keyed.first_non_empty(none, rows, lambda: asked.append(1)).count() == 2 and not asked
     assert keyed.first_non_empty(none, lambda: none, lambda: rows).count() == 2
     assert keyed.first_non_empty(none, none).count() == 0
-    source = inspect.getsource(catalogue.directory_from_leaderboard)
-    assert "lambda: gold.serving_events(tables.features)" in source
+
+
+def test_directory_leaves_the_features_alone_while_there_is_a_leaderboard(spark, monkeypatch):
+    # Stand-in tables without features: asking for them is an error.
+    monkeypatch.setattr(catalogue, "_tables", lambda spark, sf_dir: SimpleNamespace(leaderboard=spark.range(2)))
+    monkeypatch.setattr(catalogue, "_scores", lambda spark, sf_dir: spark.range(3))
+    monkeypatch.setattr(api, "available_scores", lambda scores, leaderboard, events: leaderboard)
+    monkeypatch.setattr(api, "creator_directory", lambda scores: scores.select(F.lit(1).alias("reputation_score"), F.col("id").alias("kol_id")))
+    assert [row["kol_id"] for row in catalogue.directory_from_leaderboard(spark, "none").collect()] == [0, 1]
 
 
 def test_first_features_join_only_their_own_rows_with_all_content_of_their_creators(spark, monkeypatch):
