@@ -30,6 +30,33 @@ def test_sentiment_model(spark, tmp_path):
     assert notes["kind"] == "sentiment" and notes["notice"] == store.NOTICE and len(notes["metrics"]) == 3
 
 
+def test_sentiment_fit_reads_stored_counts_of_terms(spark, monkeypatch):
+    stored, fitted_on = [], []
+    store_rows, fit = sentiment.cut_lineage, sentiment.Pipeline.fit
+    monkeypatch.setattr(sentiment, "cut_lineage", lambda rows: stored.append(rows.columns) or store_rows(rows))
+    monkeypatch.setattr(sentiment.Pipeline, "fit", lambda self, rows: fitted_on.append(rows) or fit(self, rows))
+    texts = [("tuyệt vời good clip", "positive"), ("good great", "positive"), ("awful bad clip", "negative"), ("", "neutral"), ("it is it is", "neutral"), ("it is", "neutral")]
+    rows = spark.createDataFrame(texts * 4, "text string, label_name string")
+    model = sentiment.train_sentiment(rows, term_space=64)
+    assert stored == [["label_name", "counts"]]
+    # No text is cut or hashed again under the fits.
+    plan = fitted_on[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "UDF" not in plan and "parquet" in plan
+    # The same model as from all stages in a row over the texts.
+    weights = {"positive": 24 / (3 * 8), "negative": 24 / (3 * 4), "neutral": 24 / (3 * 12)}
+    weight = F.create_map(*[F.lit(part) for pair in weights.items() for part in pair])[F.col("label_name")]
+    plain = rows.select(sentiment._plain(F.col("text")).alias("plain"), "label_name", weight.alias("weight"))
+    labels, *counting = model.stages[:5]
+    estimators = [
+        sentiment.IDF(inputCol="counts", outputCol="weighted"), model.stages[6],
+        sentiment.LogisticRegression(labelCol="label", weightCol="weight", maxIter=sentiment.MAX_ITERATIONS, regParam=1 / 24, tol=sentiment.TOLERANCE, family="multinomial", standardization=False),
+    ]
+    whole = fit(sentiment.Pipeline(stages=[labels, *counting, *estimators]), plain)
+    assert [type(stage) for stage in model.stages] == [type(stage) for stage in whole.stages]
+    assert model.stages[5].docFreq == whole.stages[5].docFreq
+    assert model.stages[-1].coefficientMatrix.toArray() == pytest.approx(whole.stages[-1].coefficientMatrix.toArray(), abs=1e-9)
+
+
 def test_creators_stay_in_one_split(spark):
     rows = spark.range(400).select(F.lit("youtube").alias("platform"), (F.col("id") % 40).cast("string").alias("creator_id"),
                                    F.lit("good").alias("comment"), F.lit("pos").alias("sentiment"))
