@@ -78,6 +78,22 @@ def test_trust_model(spark):
     assert row["trust_source"] == "trained_model" and 0 <= row["trust_score"] <= 100
 
 
+def test_rows_of_the_forest_keep_their_nodes_and_the_forest_stays_the_same(spark):
+    rows = spark.range(300).select(
+        *[(F.xxhash64("id", F.lit(n)) % 23).cast("double").alias(name) for n, name in enumerate(TRUST_NUMERIC_FEATURES)],
+        F.when(F.col("id") % 3 == 0, "youtube").otherwise("tiktok").alias("platform"), (F.col("id") * 7 % 101).cast("double").alias("trust_score"),
+    ).localCheckpoint()
+    model = trust.train_trust(rows, trees=6)
+    forest = model.stages[-1]
+    assert forest.getCacheNodeIds()
+    vectors = trust.PipelineModel(model.stages[:-1]).transform(trust.cut_lineage(trust.balanced(trust.prepare(rows))))
+    walked = trust.RandomForestRegressor(
+        featuresCol="vector", labelCol="target", numTrees=6, maxDepth=trust.DEPTH, minInstancesPerNode=trust.MIN_LEAF, seed=trust.SEED, maxMemoryInMB=trust.NODE_STATS_MB
+    ).fit(vectors)
+    assert not walked.getCacheNodeIds()
+    assert [tree.toDebugString.split("\n", 1)[1] for tree in forest.trees] == [tree.toDebugString.split("\n", 1)[1] for tree in walked.trees]
+
+
 def test_models_by_formula(spark, tmp_path):
     """They are saved, loaded and applied as trained models are."""
     folder = str(tmp_path / "trust")
